@@ -1,0 +1,181 @@
+"""Exact order statistics per group over very many values: distributed multi-select.
+
+Values are first folded to (group, value, count), a summary that adds up across partitions, months
+and days without error, and kept as sorted runs spread over all partitions, so that no group (not
+even one with a third of all rows) ever meets in one task.  Each round, every run proposes the local
+median of the range in which a wanted rank may still lie; the weighted median of the proposals is
+the pivot of (group, rank); all runs count three ways (below, equal, above) and the ruled-out side is
+discarded.  Ranks whose range holds at most FINISH values are finished by gathering just those.
+Runs drop the discarded values every few rounds.  The error is zero, at a cost of O(log n) rounds.
+
+Defined cases: null and NaN values are not values; infinities are; ties share a value and count as
+often as they occur; ranks outside 1..n give no row; an empty input gives an empty result; groups
+are compared as strings, and null groups are left out.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..session import ensure_checkpoint_dir
+
+FINISH = 512
+BLOCK = 200_000
+TRIM_EVERY = 3
+BROADCAST_GROUPS = 50_000
+_STATE = "grupo string, k long[], lo double[], hi double[], pivote double[], n long[]"
+
+
+def histogram(df: DataFrame, *, group: Column, value: Column) -> DataFrame:
+    """(grupo, valor, n): the mergeable summary; map-side partial counts keep its shuffle small."""
+    v = value.cast("double")
+    d = df.select(group.cast("string").alias("grupo"), v.alias("valor")).where(F.col("grupo").isNotNull() & v.isNotNull() & ~F.isnan(v))
+    return d.groupBy("grupo", "valor").agg(F.count(F.lit(1)).alias("n"))
+
+
+def merge(*parts: DataFrame) -> DataFrame:
+    """Adds up histograms of separate partitions, months or days."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy("grupo", "valor").agg(F.sum("n").alias("n"))
+
+
+def _runs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def flush(block: list[pd.DataFrame]) -> pd.DataFrame:
+        d = pd.concat(block).sort_values(["grupo", "valor"])
+        g = d.groupby("grupo", sort=False)
+        return pd.DataFrame({"grupo": list(g.groups), "valores": [x.to_numpy() for _, x in g["valor"]], "cuentas": [x.to_numpy() for _, x in g["n"]]})
+
+    block, size = [], 0
+    for f in frames:
+        block.append(f)
+        size += len(f)
+        if size >= BLOCK:
+            yield flush(block)
+            block, size = [], 0
+    if block:
+        yield flush(block)
+
+
+def _step(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Three-way counts of each run against the pivots, and its proposals for either side."""
+    import numpy as np
+
+    def proposal(v, c, a, b):
+        n = c[b] - c[a]
+        return (0, None) if n <= 0 else (int(n), float(v[np.searchsorted(c, c[a] + (n + 1) // 2, "left") - 1]))
+
+    for f in frames:
+        out = []
+        for g, v, w, ks, los, his, ps, ns in zip(*(f[x] for x in ("grupo", "valores", "cuentas", "k", "lo", "hi", "pivote", "n"))):
+            v = np.asarray(v)
+            c = np.concatenate([[0], np.cumsum(w)])
+            for k, lo, hi, p, n in zip(ks, los, his, ps, ns):
+                a, d = np.searchsorted(v, lo, "right") if lo is not None and lo == lo else 0, np.searchsorted(v, hi, "left") if hi is not None and hi == hi else len(v)
+                if a >= d:
+                    continue
+                if n <= FINISH:
+                    out.append((g, k, 0, 0, 0, None, 0, None, v[a:d].tolist(), np.diff(c[a : d + 1]).tolist()))
+                    continue
+                if p is None or p != p:  # the first round has no pivot yet
+                    x = y = a
+                else:
+                    x, y = a + np.searchsorted(v[a:d], p, "left"), a + np.searchsorted(v[a:d], p, "right")
+                nl, ml = proposal(v, c, a, x)
+                nr, mr = proposal(v, c, y, d)
+                out.append((g, k, int(c[x] - c[a]), int(c[y] - c[x]), nl, ml, nr, mr, None, None))
+        yield pd.DataFrame(out, columns=["grupo", "k", "menos", "igual", "nl", "ml", "nr", "mr", "resto", "pesos"])
+
+
+_STEP = "grupo string, k long, menos long, igual long, nl long, ml double, nr long, mr double, resto array<double>, pesos array<long>"
+
+
+def _trim(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Drops from the runs what no wanted rank can reach any more."""
+    import numpy as np
+
+    for f in frames:
+        groups, values, counts = [], [], []
+        for g, v, w, los, his in zip(*(f[x] for x in ("grupo", "valores", "cuentas", "lo", "hi"))):
+            v, w = np.asarray(v), np.asarray(w)
+            keep = np.zeros(len(v), dtype=bool)
+            for lo, hi in zip(los, his):
+                keep |= (True if lo is None or lo != lo else v > lo) & (True if hi is None or hi != hi else v < hi)
+            if keep.any():
+                groups.append(g)
+                values.append(v[keep])
+                counts.append(w[keep])
+        yield pd.DataFrame({"grupo": groups, "valores": values, "cuentas": counts})
+
+
+def multi_select(hist: DataFrame, ranks: dict[str, Column]) -> DataFrame:
+    """(grupo, total, one double column per rank): the values at 1-based ranks of each group.
+
+    hist is a `histogram` (or a `merge` of several); ranks gives, by name, an expression over the
+    column `total` (the number of values of the group).
+    """
+    ensure_checkpoint_dir(hist.sparkSession)
+    run_schema = "grupo string, valores array<double>, cuentas array<long>"
+    runs = hist.mapInPandas(_runs, run_schema).checkpoint()
+    totals = runs.groupBy("grupo").agg(F.sum(F.aggregate("cuentas", F.lit(0).cast("long"), lambda a, x: a + x)).alias("total")).checkpoint()
+    names = list(ranks)
+    wanted = totals.select("grupo", "total", F.explode(F.array(*[F.struct(F.lit(n).alias("nombre"), r.cast("long").alias("rango")) for n, r in ranks.items()])).alias("x")).select("grupo", "total", "x.nombre", "x.rango").where(F.col("rango").between(1, F.col("total")))
+    none = F.lit(None).cast("double")
+    state = wanted.select("grupo", F.col("rango").alias("k"), F.col("rango").alias("resta"), none.alias("lo"), none.alias("hi"), none.alias("pivote"), F.col("total").alias("n")).distinct().checkpoint()
+    small = totals.count() <= BROADCAST_GROUPS
+    found: list[DataFrame] = []
+    turn = 0
+    while not state.isEmpty():
+        turn += 1
+        per_group = state.groupBy("grupo").agg(F.sort_array(F.collect_list(F.struct("k", "lo", "hi", "pivote", "n"))).alias("s")).select("grupo", *[F.col(f"s.{c}").alias(c) for c in ("k", "lo", "hi", "pivote", "n")])
+        side = F.broadcast(per_group) if small else per_group  # a row per group; beyond the checked size both sides are shuffled by group
+        active = runs.join(side, "grupo")
+        if turn % TRIM_EVERY == 0:
+            runs = active.mapInPandas(_trim, run_schema).checkpoint()
+            active = runs.join(side, "grupo")
+        steps = active.mapInPandas(_step, _STEP)
+        seen = steps.groupBy("grupo", "k").agg(
+            *[F.sum(c).alias(c) for c in ("menos", "igual", "nl", "nr")],
+            F.percentile("ml", F.lit(0.5), F.col("nl")).alias("ml"),
+            F.percentile("mr", F.lit(0.5), F.col("nr")).alias("mr"),
+            # at most FINISH values in all, by the count that led here
+            F.sort_array(F.flatten(F.collect_list(F.when(F.col("resto").isNotNull(), F.arrays_zip("resto", "pesos"))))).alias("cola"),
+        )
+        d = state.select("grupo", "k", "resta", "lo", "hi", "pivote", F.col("n").alias("__n")).join(seen, ["grupo", "k"])
+        # running count over the gathered rest, until the wanted rank is reached
+        pick = F.aggregate(
+            "cola",
+            F.struct(F.lit(0).cast("long").alias("c"), none.alias("v")),
+            lambda a, x: F.struct((a["c"] + x["pesos"]).alias("c"), F.when(a["v"].isNull() & (a["c"] + x["pesos"] >= F.col("resta")), x["resto"]).otherwise(a["v"]).alias("v")),
+        )["v"]
+        low = F.col("resta") <= F.col("menos")
+        hit = ~low & (F.col("resta") <= F.col("menos") + F.col("igual"))
+        last = F.col("__n") <= FINISH
+        d = d.select(
+            "grupo",
+            "k",
+            F.when(last, pick).when(hit, F.col("pivote")).alias("valor"),
+            F.when(low, F.col("resta")).otherwise(F.col("resta") - F.col("menos") - F.col("igual")).alias("resta"),
+            F.when(low, F.col("lo")).otherwise(F.coalesce("pivote", "lo")).alias("lo"),
+            F.when(low, F.col("pivote")).otherwise(F.col("hi")).alias("hi"),
+            F.when(low, F.col("ml")).otherwise(F.col("mr")).alias("pivote"),
+            F.when(low, F.col("nl")).otherwise(F.col("nr")).alias("n"),
+        ).checkpoint()
+        found.append(d.where("valor is not null").select("grupo", "k", "valor"))
+        state = d.where("valor is null").drop("valor")
+    done = found[0] if found else state.select("grupo", "k", F.col("lo").alias("valor"))
+    for f in found[1:]:
+        done = done.unionByName(f)
+    values = wanted.join(done, (wanted["grupo"] == done["grupo"]) & (wanted["rango"] == done["k"])).select(wanted["grupo"], "nombre", "valor")
+    wide = values.groupBy("grupo").agg(*[F.max(F.when(F.col("nombre") == n, F.col("valor"))).alias(n) for n in names])
+    return totals.join(wide, "grupo", "left")
+
+
+def prefixes(code: Column, longest: int) -> Column:
+    """All prefixes of a code, 1 to `longest` characters."""
+    return F.transform(F.sequence(F.lit(1), F.least(F.length(code), F.lit(longest))), lambda k: F.substring(code, F.lit(1), k))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import late_events, orphans, snapshots, timestamps
+from ..operators import late_events, nested, orphans, quantiles, snapshots, timestamps, units
 from ..session import table
 
 MAX_LATE_MONTHS = 4
@@ -35,6 +35,10 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     return d.where("restado <> publicado").select("anio", "mes", "comprador_ruc", (F.col("restado") - F.col("publicado")).cast("int").alias("n_cambio"))
 
 
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    return nested.flatten_children(table(spark, sf, "detalle_mes"), row="reg_id", text="registro")
+
+
 def _compared() -> dict[str, Column]:
     return {
         "estado": F.lower(snapshots.clean_text(F.col("estado"))),
@@ -80,6 +84,40 @@ def p4_report(spark: SparkSession, sf: str) -> DataFrame:
     return orphans.orphan_report(*_references(spark, sf))
 
 
+def _price_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    """Prices > 0 of the distinct lines, under every prefix of their code."""
+    i = table(spark, sf, "proceso_item").select("item_fila", "ocid", "item_id", "origen", "cpc", "precio_unitario")
+    once = i.groupBy("ocid", "item_id", "origen").agg(F.min(F.struct("item_fila", "cpc", "precio_unitario")).alias("x")).select("x.cpc", "x.precio_unitario")
+    lines = once.where("precio_unitario > 0 and cpc is not null")
+    # counted per full code first, so that only distinct prices are multiplied by the prefixes
+    exact = quantiles.histogram(lines, group=F.substring("cpc", 1, 5), value=F.col("precio_unitario"))
+    each = exact.select(F.explode(quantiles.prefixes(F.col("grupo"), 5)).alias("grupo"), "valor", "n")
+    return quantiles.merge(each)
+
+
+def p5_percentiles(spark: SparkSession, sf: str) -> DataFrame:
+    """(codigo, n, p10, p25, mediana, p75, p90) of every prefix: the values at rank ceil(q * n)."""
+    total = F.col("total")
+    at = lambda pct: F.floor((total * pct + 99) / 100)
+    ranks = {"p10": at(10), "p25": at(25), "mediana": at(50), "p75": at(75), "p90": at(90)}
+    return quantiles.multi_select(_price_histogram(spark, sf), ranks).withColumnsRenamed({"grupo": "codigo", "total": "n"})
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    """A figure is wrong when it lies below the value at rank (q - 10) % or above the one at (q + 10) %."""
+    total = F.col("total")
+    ranks = {}
+    for campo, pct in (("p25", 25), ("mediana", 50), ("p75", 75)):
+        ranks[f"{campo}_bajo"] = F.floor((total * (pct - 10) + 99) / 100)
+        ranks[f"{campo}_alto"] = F.floor(total * (pct + 10) / 100) + 1
+    nodes = table(spark, sf, "mercado_nodo").select("codigo", "p25", "mediana", "p75").where("codigo is not null")
+    hist = _price_histogram(spark, sf).join(nodes.select(F.col("codigo").alias("grupo")).distinct(), "grupo", "left_semi")
+    bounds = quantiles.multi_select(hist, ranks)
+    d = nodes.join(bounds, nodes["codigo"] == bounds["grupo"])
+    bad = F.array(*[F.when((F.col(c) < F.col(f"{c}_bajo")) | (F.col(c) > F.col(f"{c}_alto")), F.lit(c)) for c in ("p25", "mediana", "p75")])
+    return d.select("codigo", F.explode(F.array_compact(bad)).alias("campo")).distinct()
+
+
 def p6_instants(spark: SparkSession, sf: str) -> DataFrame:
     """(fila_id, campo, valor, instante_us, lectura) for every value of the three columns."""
     r = table(spark, sf, "proceso_resumen").select("fila_id", "fecha", "publicado", "cierra", "fuente_id")
@@ -95,7 +133,24 @@ def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     return p6_instants(spark, sf).where(F.col("instante_us").isNotNull() & ~form).select("fila_id", "campo", "instante_us")
 
 
+def p7_converted(spark: SparkSession, sf: str) -> DataFrame:
+    """Every measured line with its unit, in base units."""
+    i = table(spark, sf, "proceso_item").select("item_fila", "unidad", "descripcion", "cantidad", "precio_unitario").where("cantidad > 0 and precio_unitario > 0")
+    out = units.convert(i, table(spark, sf, "unidad_conv"), unit="unidad", description="descripcion", quantity="cantidad", price="precio_unitario")
+    return out.select("item_fila", "unidad", "unidad_base", "cantidad_milesimas", "precio_diezmilesimas")
+
+
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    bases = table(spark, sf, "unidad_conv").select(F.col("unidad_base").alias("unidad")).where("unidad is not null").distinct()
+    return p7_converted(spark, sf).join(bases, "unidad", "left_anti").select("item_fila", "unidad_base", "cantidad_milesimas", "precio_diezmilesimas")
+
+
 QUERIES = {
+    "p2_found": p2_found,
+    "p5_found": p5_found,
+    "p5_percentiles": p5_percentiles,
+    "p7_found": p7_found,
+    "p7_converted": p7_converted,
     "p1_found": p1_found,
     "p1_restated": p1_restated,
     "p3_found": p3_found,
