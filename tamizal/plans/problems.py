@@ -160,3 +160,5 @@ QUERIES = {
     "p6_found": p6_found,
     "p6_instants": p6_instants,
 }
+
+SQL: dict[str, str] = {}

@@ -17,6 +17,7 @@ def build_session(app: str = "tamizal", cpus: str = "8", shuffle: int = 8) -> Sp
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("TAMIZAL_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
