@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import bpe, packing
+from . import bpe, packing, sentences
 
 CAPACITY = 2048
 
@@ -28,5 +28,9 @@ def p9_fill(spark: SparkSession, sf: str) -> DataFrame:
     return full.agg(F.count(F.lit(1)).alias("contenedores"), F.sum("n").alias("tokens"), F.max("n").alias("lleno_max"), F.round(1 - F.sum("n") / (F.count(F.lit(1)) * CAPACITY), 6).alias("sin_usar"))
 
 
-QUERIES = {"p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill}
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    return sentences.split_sentences(table(spark, sf, "documents").select("doc_id", "text", "lang"))
+
+
+QUERIES = {"p10_found": p10_found, "p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill}
 SQL: dict[str, str] = {}
