@@ -47,14 +47,16 @@ FIRST_MARK = re.compile(r"\s*(?:[-•*·▪◦●‣–]|\(?(?:1|[aAiI])[.)])\s+
 HEAD_MARK = re.compile(r"\s*(?:\d{1,3}|[A-Za-z]|[ivxlcIVXLC]{1,6})(?:\.\d{1,3})*\.")
 WORD = re.compile(r"[^\W\d_]+(?:[\u0300-\u036f][^\W\d_]*)*")
 WHOLE_WORD = re.compile(r"(?<![\w.])[^\W\d_][^\W\d_\u0300-\u036f]*(?!\w)")
-WEB = re.compile(r"\S*(?:www\.|://|@)\S*", re.I)
-STOPPED = re.compile(r"(\S+)\.(?=\s+(\S+))")
+WEB = re.compile(r"(?<!\S)\S*?(?:www\.|://|@)\S*", re.I)
+STOPPED = re.compile(r"(?<!\S)(\S+)\.(?=\s+(\S+))")
 #: The first word of a block, or one after a question or exclamation mark: certainly a start.
 SURE_START = re.compile(r"(?:\A|\n\s*\n|[!?]\s)\s*[¿¡«\"„“]?([^\W\d_]+)")
 NUMBER = re.compile(r"[-+$€]?\d[\d.,:/%-]*$")
 
 
 def fold(token: str) -> str:
+    if token.isascii():
+        return token.lower()
     return unicodedata.normalize("NFC", token).lower()
 
 
@@ -92,15 +94,13 @@ def _count(batches: Iterator) -> Iterator:
 
     for batch in batches:
         seen: Counter = Counter()
+        words: dict[tuple[str, bool], Counter] = {}
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             if not text:
                 continue
             loud = shouted(text)
-            for w, n in Counter(WHOLE_WORD.findall(WEB.sub(" ", text))).items():
-                f = fold(w)
-                seen[lang, "w", f, "", ""] += n
-                if w[0].islower() and not loud:
-                    seen[lang, "l", f, "", ""] += n
+            web = "www." in text or "://" in text or "@" in text or "WWW." in text
+            words.setdefault((lang, loud), Counter()).update(WHOLE_WORD.findall(WEB.sub(" ", text) if web else text))
             for m in STOPPED.finditer(text):
                 a, (b, kind) = type_of(m[1]), next_of(m[2])
                 if not a or len(a) > 40:
@@ -109,6 +109,12 @@ def _count(batches: Iterator) -> Iterator:
             if not loud:
                 for m in SURE_START.finditer(text):
                     seen[lang, "s", fold(m[1]), "", ""] += 1
+        for (lang, loud), each in words.items():
+            for w, n in each.items():
+                f = fold(w)
+                seen[lang, "w", f, "", ""] += n
+                if w[0].islower() and not loud:
+                    seen[lang, "l", f, "", ""] += n
         rows = [(*k, n) for k, n in seen.items()]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)] if rows else [pa.array([], pa.string())] * 5 + [pa.array([], pa.int64())], names=["lang", "k", "a", "b", "c", "n"])
 
