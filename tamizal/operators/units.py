@@ -72,10 +72,18 @@ def spelling(c: Column) -> Column:
     return F.nullif(F.translate(t, "²³", "23"), F.lit(""))
 
 
-def measure_phrase(c: Column) -> Column:
-    """The part of a description that states a measure, or null."""
-    t = spelling(c)
-    return F.coalesce(*[F.nullif(F.regexp_extract(t, p, 1), F.lit("")) for p in _PHRASES])
+def with_phrase(d: DataFrame, description: str, name: str) -> DataFrame:
+    """Adds the part of a description that states a measure, or null.
+
+    Step by step, so that each pattern runs at most once over a text, and the later ones only where
+    the earlier ones found nothing.
+    """
+    first, *others = _PHRASES
+    d = d.withColumn("__t", F.translate(F.lower(F.col(description)), "²³\u00a0\t\r\n", "23    "))
+    d = d.withColumn(name, F.regexp_extract("__t", first, 1))
+    for p in others:
+        d = d.withColumn(name, F.when(F.col(name) == "", F.regexp_extract("__t", p, 1)).otherwise(F.col(name)))
+    return d.withColumn(name, F.nullif(F.trim(F.col(name)), F.lit(""))).drop("__t")
 
 
 def plain_name(c: Column) -> Column:
@@ -191,8 +199,8 @@ def convert(df: DataFrame, units: DataFrame, *, unit: str, description: str, qua
     """Adds unidad_base, cantidad_milesimas and precio_diezmilesimas to the rows whose measure can be
     told; the other rows are left out."""
     ensure_checkpoint_dir(df.sparkSession)
-    d = df.withColumn("__u", spelling(F.col(unit))).withColumn("__f", measure_phrase(F.col(description)))
-    texts = d.select(F.explode(F.array("__u", "__f")).alias("texto")).where("texto is not null").distinct()
+    d = with_phrase(df.withColumn("__u", spelling(F.col(unit))), description, "__f")
+    texts = d.select("__u", "__f").distinct().select(F.explode(F.array("__u", "__f")).alias("texto")).where("texto is not null").distinct().checkpoint()
     words = dictionary(texts, units).checkpoint()
     n = words.count()
 
