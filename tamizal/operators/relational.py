@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 
 def first_by(df: DataFrame, keys: list[str], order: list[str], where: Column | None = None) -> DataFrame:
     """One row per key: the first by `order` among those that satisfy `where`.
@@ -86,13 +88,19 @@ def fill_from(df: DataFrame, source: DataFrame, keys: list[str], columns: list[s
 def never_met(pairs: DataFrame, offers: DataFrame, *, left: str, right: str, through: str) -> DataFrame:
     """Per left, how many rights share a `through` value with it and never met it.
 
-    pairs: (left, right, through) that met; offers: (right, through).  Distinct pairs come first, so
-    a hot `through` value multiplies keys and not rows.
+    pairs: (left, right, through) that met, all of them also in offers; offers: (right, through).
+    The rights of a `through` value are a bitmap, and those of a left the union of its bitmaps, so
+    no pair of a left and a right is ever written out.  Lefts without such rights have no row.
     """
+    ensure_checkpoint_dir(pairs.sparkSession)
+    who = offers.select(right, through).where(F.col(right).isNotNull() & F.col(through).isNotNull())
+    # numbers by partition are nearly dense, and the checkpoint keeps them when a task runs again
+    numbers = who.select(right).distinct().withColumn("__id", F.monotonically_increasing_id()).checkpoint()
+    marks = who.distinct().join(numbers, right).groupBy(through, F.bitmap_bucket_number("__id").alias("__b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("__id")).alias("__m"))
     own = pairs.select(left, through).where(F.col(left).isNotNull() & F.col(through).isNotNull()).distinct()
-    reach = own.join(offers.select(right, through).where(F.col(right).isNotNull()).distinct(), through).select(left, right).distinct()
-    met = pairs.select(left, right).where(F.col(right).isNotNull()).distinct()
-    return reach.join(met, [left, right], "left_anti").groupBy(left).agg(F.count(F.lit(1)).alias("n"))
+    reach = own.join(marks, through).groupBy(left, "__b").agg(F.bitmap_count(F.bitmap_or_agg("__m")).alias("c")).groupBy(left).agg(F.sum("c").alias("__reach"))
+    met = pairs.select(left, right).where(F.col(left).isNotNull() & F.col(right).isNotNull() & F.col(through).isNotNull()).distinct().groupBy(left).agg(F.count(F.lit(1)).alias("__met"))
+    return reach.join(met, left, "left").select(left, (F.col("__reach") - F.coalesce("__met", F.lit(0))).alias("n")).where("n > 0")
 
 
 def top_k(df: DataFrame, order: list[Column], k: int, offset: int = 0) -> DataFrame:
