@@ -163,7 +163,11 @@ def match_names(names: DataFrame, known: DataFrame) -> DataFrame:
     """
     # every known name is in the index under each of its n-grams; its size does not follow the data
     index = known.withColumn("ga", grams(F.col("alias"))).select("alias", "unidad", F.size("ga").alias("na"), F.explode("ga").alias("g"))
-    asked = names.withColumn("gn", grams(F.col("nombre"))).select("nombre", F.size("gn").alias("nn"), F.explode("gn").alias("g"))
+    # a letter that the other name lacks costs at least 0.25, so a name over three times as long as
+    # the longest known one is always beyond MAX_DISTANCE
+    longest = 3 * (known.agg(F.max(F.length("alias"))).first()[0] or 0)
+    asked = names.where(F.length("nombre") <= longest).withColumn("gn", F.when(F.length("nombre") <= longest, grams(F.col("nombre"))))
+    asked = asked.select("nombre", F.size("gn").alias("nn"), F.explode("gn").alias("g"))
     shared = asked.join(index, "g").groupBy("nombre", "alias", "unidad").agg(F.count(F.lit(1)).alias("c"), F.first("na").alias("na"), F.first("nn").alias("nn"))
     near = shared.where(F.col("c") >= 0.4 * F.least("na", "nn"))
 
