@@ -117,4 +117,4 @@ def replay_stream(events: DataFrame, *, key: str, event: str, value: str, every:
 
     out = f"`{key}` {kind}, `{event}` int, total double, version int"
     pair = "array<struct<p:int,v:double>>"
-    return events.groupBy(key).applyInPandasWithState(step, out, f"log {pair}, snaps {pair}, newest int, version int", "update", "noTimeout")
+    return events.groupBy(key).applyInPandasWithState(step, out, f"log {pair}, snaps {pair}, newest int, version int", "update", "NoTimeout")
