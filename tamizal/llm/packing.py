@@ -33,7 +33,12 @@ def pack_histogram(counts: dict[int, int], capacity: int) -> list[tuple[int, tup
         while left:
             fill = min((f for f in packs if f + length <= capacity), default=None)
             if fill is None:
-                packs.setdefault(length, []).append([left, (length,)])
+                # item by item, a new pack takes more of the same length before another is opened
+                full, rest = divmod(left, capacity // length)
+                if full:
+                    packs.setdefault(capacity // length * length, []).append([full, (length,) * (capacity // length)])
+                if rest:
+                    packs.setdefault(rest * length, []).append([1, (length,) * rest])
                 break
             pattern = packs[fill][-1]
             used = min(left, pattern[0])
