@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLANK = r"^[\s ﻿]+|[\s ﻿]+$"
+BLANK = r"^[\s\u00a0\ufeff]+|[\s\u00a0\ufeff]+$"
 
 
 def clean_text(c: Column) -> Column:

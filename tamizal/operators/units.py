@@ -68,7 +68,7 @@ _SPLIT = r"^(?:[^0-9]*?)([0-9]+(?:[.,][0-9]+)*(?: ?/ ?[0-9]+)?) *(?:de )?([^0-9
 
 def spelling(c: Column) -> Column:
     """The form under which equal spellings meet: lower case, single inner blanks, no outer ones."""
-    t = F.regexp_replace(F.regexp_replace(F.lower(c), BLANK, ""), r"[\s ]+", " ")
+    t = F.regexp_replace(F.regexp_replace(F.lower(c), BLANK, ""), r"[\s\u00a0]+", " ")
     return F.nullif(F.translate(t, "²³", "23"), F.lit(""))
 
 

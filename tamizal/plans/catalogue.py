@@ -284,6 +284,104 @@ def g27_reconciliation(spark, sf):
     return a.join(b, "anio", "full").select("anio", "n_cubo", "n_filas", F.round(F.col("n_cubo") / F.col("n_filas"), 4).alias("razon"))
 
 
+@query("""with h as (select distinct * from hecho_mes), a as (select proveedor_ruc ruc, anio, sum(cast(adjudicado as decimal(18,4))) m, sum(n_procesos) n from h where proveedor_ruc is not null group by all), b as (select ruc, cast(sum(m) as double) total, min(anio) desde, max(anio) hasta, count(*) anios, max(anio) filter (anio < 2025) completo from a group by ruc)
+select b.ruc, total, desde, hasta, anios, coalesce(completo, hasta) base, cast(a.m as double) monto_base, a.n::bigint n_base, completo is not null activo from b join a on a.ruc = b.ruc and a.anio = coalesce(completo, hasta)""")
+def g05_supplier_summary(spark, sf):
+    """Totals, and the figures of the last complete year (or else of the only one), in one aggregate."""
+    h = table(spark, sf, "hecho_mes").distinct().where("proveedor_ruc is not null")
+    a = h.groupBy(F.col("proveedor_ruc").alias("ruc"), "anio").agg(F.sum(dec("adjudicado")).alias("m"), F.sum("n_procesos").alias("n"))
+    year = F.struct((F.col("anio") < 2025).alias("completo"), "anio", "m", "n")
+    d = a.groupBy("ruc").agg(F.sum("m").cast("double").alias("total"), F.min("anio").alias("desde"), F.max("anio").alias("hasta"), F.count(F.lit(1)).alias("anios"), F.max(year).alias("b"))
+    return d.select("ruc", "total", "desde", "hasta", "anios", F.col("b.anio").alias("base"), F.col("b.m").cast("double").alias("monto_base"), F.col("b.n").alias("n_base"), F.col("b.completo").alias("activo"))
+
+
+@query("""with p as (select cpc, anio, left(unidad, 40) unidad, precio_unitario x from proceso_item where precio_unitario > 0 and cpc is not null and unidad is not null), o as (select *, row_number() over (partition by cpc, anio, unidad order by x) - 1 i, count(*) over (partition by cpc, anio, unidad) n from p)
+select cpc, anio, unidad, n, max(x) filter (i = least(n * 25 // 100, n - 1)) p25, max(x) filter (i = least(n * 75 // 100, n - 1)) p75, round(median(x), 6) mediana from o where n >= 10 group by cpc, anio, unidad, n""")
+def g14_value_year(spark, sf):
+    p = table(spark, sf, "proceso_item").where("precio_unitario > 0 and cpc is not null and unidad is not null").select("cpc", "anio", F.left("unidad", F.lit(40)).alias("unidad"), F.col("precio_unitario").alias("x"))
+    d = p.groupBy("cpc", "anio", "unidad").agg(F.count(F.lit(1)).alias("n"), *rel.rank_quantile([], "x", {"p25": 0.25, "p75": 0.75}), F.round(F.percentile("x", F.lit(0.5)), 6).alias("mediana"))
+    return d.where("n >= 10")
+
+
+@query("""select (select count(*) from proceso_resumen) filas, (select count(distinct ocid) from proceso_resumen) procesos, (select cast(sum(cast(adjudicado as decimal(18,4))) as double) from proceso_resumen) monto, (select count(distinct ruc) from entidad) entidades, (select count(*) from cpc_nivel where nivel = 1) secciones""")
+def g16_totals(spark, sf):
+    """One-row aggregates side by side; each table is read once."""
+    r = table(spark, sf, "proceso_resumen").agg(F.count(F.lit(1)).alias("filas"), F.countDistinct("ocid").alias("procesos"), money("adjudicado").alias("monto"))
+    e = table(spark, sf, "entidad").agg(F.countDistinct("ruc").alias("entidades"))
+    n = table(spark, sf, "cpc_nivel").where("nivel = 1").agg(F.count(F.lit(1)).alias("secciones"))
+    return r.join(e).join(n)
+
+
+@query("""select comprador_ruc, c.codigo, c.descripcion, count(*) n, cast(sum(cast(adjudicado as decimal(18,4))) as double) monto, count(distinct proveedor_ruc) proveedores from proceso_resumen r join cpc_nivel c on r.cpc_nodo = c.codigo where estado in ('adjudicado', 'cerrado') and comprador_ruc is not null group by all""")
+def g17_buyer_node(spark, sf):
+    r = table(spark, sf, "proceso_resumen").where(F.col("estado").isin("adjudicado", "cerrado") & F.col("comprador_ruc").isNotNull())
+    # facts first: the descriptions are joined to groups and not to rows
+    d = r.groupBy("comprador_ruc", F.col("cpc_nodo").alias("codigo")).agg(F.count(F.lit(1)).alias("n"), money("adjudicado").alias("monto"), F.countDistinct("proveedor_ruc").alias("proveedores"))
+    return d.join(table(spark, sf, "cpc_nivel").select("codigo", "descripcion"), "codigo")
+
+
+@query("""with l as (select ocid, sum(cast(monto_linea as decimal(18,4))) s from proceso_item where origen = 'tender' group by ocid), r as (select ocid, max(cast(referencial as decimal(18,4))) m from proceso_resumen group by ocid) select count(*) n, count(*) filter (abs(s - m) <= m * 0.02) cerca from l join r using (ocid) where s > 0 and m > 0""")
+def g23_line_check(spark, sf):
+    i = table(spark, sf, "proceso_item").where("origen = 'tender'").groupBy("ocid").agg(F.sum(dec("monto_linea")).alias("s"))
+    r = table(spark, sf, "proceso_resumen").groupBy("ocid").agg(F.max(dec("referencial")).alias("m"))
+    return i.join(r, "ocid").where("s > 0 and m > 0").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.abs(F.col("s") - F.col("m")) <= F.col("m") * F.lit(0.02).cast("decimal(4,2)")).alias("cerca"))
+
+
+@query("""with s as (select ocid, max(case when origen = 'award' and monto_linea > 0 then 1 else 0 end) a from proceso_item group by ocid) select item_fila, i.ocid, origen from proceso_item i join s using (ocid) where (a = 1 and origen = 'award') or (a = 0 and origen = 'tender')""")
+def sel10_single_origin(spark, sf):
+    """Lines of one origin per process: award where any award line has an amount, else tender."""
+    i = table(spark, sf, "proceso_item").select("item_fila", "ocid", "origen", "monto_linea")
+    awarded = i.where("origen = 'award' and monto_linea > 0").select("ocid").distinct()
+    return i.where("origen = 'award'").join(awarded, "ocid", "left_semi").unionByName(i.where("origen = 'tender'").join(awarded, "ocid", "left_anti")).select("item_fila", "ocid", "origen")
+
+
+@query("""select count(*) lineas, count(*) filter (metodo is null) sin_metodo, round(count(*) filter (metodo is null) / count(*), 6) parte from proceso_item i left join (select ocid, max(metodo) metodo from proceso_resumen group by ocid) r using (ocid)""")
+def j02_lines_without_method(spark, sf):
+    m = table(spark, sf, "proceso_resumen").groupBy("ocid").agg(F.max("metodo").alias("metodo"))
+    d = table(spark, sf, "proceso_item").select("ocid").join(m, "ocid", "left")
+    none = F.count_if(F.col("metodo").isNull())
+    return d.agg(F.count(F.lit(1)).alias("lineas"), none.alias("sin_metodo"), F.round(none / F.count(F.lit(1)), 6).alias("parte"))
+
+
+def unmet_buyers(r: DataFrame, supplier: str, most: int = 100) -> DataFrame:
+    """Buyers of the nodes a supplier has served that it never served, largest first."""
+    own = r.where(F.col("proveedor_ruc") == supplier)
+    nodes = own.select("cpc_nodo").where("cpc_nodo is not null").distinct()
+    met = own.select("comprador_ruc").where("comprador_ruc is not null").distinct()
+    d = r.where("comprador_ruc is not null").join(nodes, "cpc_nodo", "left_semi").join(met, "comprador_ruc", "left_anti")
+    d = d.groupBy("comprador_ruc").agg(F.count(F.lit(1)).alias("n"), money("adjudicado").alias("monto"))
+    return rel.top_k(d, [F.desc_nulls_last("monto"), F.asc("comprador_ruc")], most)
+
+
+@query("""with s as (select proveedor_ruc from proceso_resumen where regexp_matches(proveedor_ruc, '^\\d{13}$') group by 1 order by count(*) desc, 1 limit 1), own as (select * from proceso_resumen where proveedor_ruc = (select proveedor_ruc from s)) select comprador_ruc, count(*) n, cast(sum(cast(adjudicado as decimal(18,4))) as double) monto from proceso_resumen where comprador_ruc is not null and cpc_nodo in (select cpc_nodo from own where cpc_nodo is not null) and comprador_ruc not in (select comprador_ruc from own where comprador_ruc is not null) group by 1 order by monto desc nulls last, 1 limit 100""")
+def j09_unmet_buyers(spark, sf):
+    """For the supplier with most rows."""
+    r = table(spark, sf, "proceso_resumen").select("proveedor_ruc", "comprador_ruc", "cpc_nodo", "adjudicado")
+    counts = r.where(F.col("proveedor_ruc").rlike(r"^\d{13}$")).groupBy("proveedor_ruc").agg(F.count(F.lit(1)).alias("n"))
+    best = rel.top_k(counts, [F.desc("n"), F.asc("proveedor_ruc")], 1).first()
+    return unmet_buyers(r, best[0] if best else "")
+
+
+@query()
+def s04_release_table(spark, sf):
+    """One row per release of the nested records: title, method, amount (a zero falls through to the
+    budget), tenderers and first tag."""
+    from ..operators import nested
+
+    d = table(spark, sf, "detalle_mes").select("reg_id", "anio", "mes", F.col("registro").alias("t"))
+    d = d.withColumn("p", F.from_json("t", "releases string"))
+    one = F.coalesce(F.from_json("p.releases", "array<string>"), F.array("t"))
+    r = d.select("reg_id", "anio", "mes", F.explode(one).alias("t"))
+    shape = "ocid string, tag string, buyer struct<id:string,name:string>, planning struct<budget:struct<amount:struct<amount:double>>>, tender struct<title:string,value:struct<amount:double>,procurementMethodDetails:string,tenderers:string>"
+    x = r.select("reg_id", "anio", "mes", F.from_json("t", shape).alias("x")).where("x.ocid is not null and x.ocid <> ''")
+    amount = scalars.or_zero_falls(F.col("x.tender.value.amount"), F.col("x.planning.budget.amount.amount"))
+    return x.select(
+        "reg_id", "anio", "mes", F.col("x.ocid").alias("ocid"), F.col("x.tender.title").alias("titulo"), scalars.before(F.col("x.tender.procurementMethodDetails"), " en el convenio").alias("metodo"),
+        amount.alias("referencial"), F.coalesce(F.size(nested._elements(F.col("x.tender.tenderers"))), F.lit(0)).alias("n_oferentes"), scalars.tax_id(F.col("x.buyer.id")).alias("comprador_ruc"),
+        scalars.tag_state(F.col("x.tag"), ["contract", "award", "tender", "planning"]).alias("estado"),
+    )
+
+
 # Joins
 
 
