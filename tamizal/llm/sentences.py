@@ -51,6 +51,7 @@ WEB = re.compile(r"(?<!\S)\S*?(?:www\.|://|@)\S*", re.I)
 STOPPED = re.compile(r"(?<!\S)(\S+)\.(?=\s+(\S+))")
 #: The first word of a block, or one after a question or exclamation mark: certainly a start.
 SURE_START = re.compile(r"(?:\A|\n\s*\n|[!?]\s)\s*[¿¡«\"„“]?([^\W\d_]+)")
+CAPITALS = re.compile("[A-ZÀ-ÖØ-ÞΑ-ΩЀ-Я]")
 NUMBER = re.compile(r"[-+$€]?\d[\d.,:/%-]*$")
 
 
@@ -78,9 +79,9 @@ def next_of(token: str) -> tuple[str, str]:
 
 
 def shouted(text: str) -> bool:
-    """Whether (nearly) all cased letters are capitals, so that case says nothing."""
-    up = sum(map(str.isupper, text))
-    return up > 20 and up > 0.8 * (up + sum(map(str.islower, text)))
+    """Whether a text with letters has (nearly) only capitals among them, so that case says nothing."""
+    up = len(CAPITALS.findall(text))
+    return up > 20 and up > 0.2 * len(text) and up > 0.8 * (up + sum(map(str.islower, text)))
 
 
 def language(c: Column) -> Column:
@@ -331,6 +332,8 @@ def cut_block(t: str, model: Model, loud: bool) -> list[int]:
         marks.append((m.start(), m.start(), " "))
     marks.sort()
     for i, j, run in marks:
+        if run == "." and j < len(t) and (t[j].islower() or t[j].isdigit()):
+            continue  # inside a figure, an address or an abbreviation
         while s < len(spans) and spans[s][1] < i:
             s += 1
         inside = s < len(spans) and spans[s][0] < i < spans[s][1]
@@ -353,6 +356,10 @@ def cut_block(t: str, model: Model, loud: bool) -> list[int]:
         if run == " ":
             ends.append(i)
             continue
+        if run == ".":
+            if _full_stop(t, i, k, n, model, quoted, loud, head):
+                ends.append(k)
+            continue
         b, kind = next_of(t[n : n + 60].split(None, 1)[0])
         if any(x in CJK_STOPS for x in run):
             ok = not quoted and c not in "，、；：,;:"
@@ -364,12 +371,10 @@ def cut_block(t: str, model: Model, loud: bool) -> list[int]:
             else:
                 ok = not (quoted and kind == "low" and b not in model.small) and c not in ",;:)—–-"
                 ok = ok and not (quoted and kind == "oth" and c.isalpha())
-        elif "…" in run or len(run) > 1:
+        else:
             ok = c not in ",;:)" and not (loud and kind == "cap" and b not in model.starters) and (kind in ("cap", "num", "oth") if n > k else kind == "cap" or c in "¿¡") or (kind == "low" and n > k and b in model.small)
             if run == "..":  # an abbreviation at the end of a sentence, or a slip
                 ok = c not in ",;:)" and n > k
-        else:
-            ok = _full_stop(t, i, k, n, model, quoted, loud, head)
         if ok:
             ends.append(k)
     return [*ends, len(t)]
