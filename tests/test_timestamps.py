@@ -141,3 +141,29 @@ def test_intervals_cover_the_line(zone):
     assert len(rows) == ts.LAST_YEAR - ts.FIRST_YEAR + 1
     assert all(r[2] for r in rows)
     assert rows[0][2][0][0] < -(1 << 60) and rows[-1][2][-1][1] > 1 << 60
+
+
+def test_restated_counts_against_plain_python(spark, data):
+    """p1_found from plain Python over the same rows."""
+    from collections import Counter
+
+    from tamizal.plans import problems
+    from tamizal.session import table
+
+    sources = {r["fuente_id"]: r for r in table(spark, data, "fuente").collect()}
+    best = {}
+    for r in table(spark, data, "proceso_resumen").collect():
+        s = sources[r["fuente_id"]]
+        at = r["fecha"] and plain(r["fecha"], s["zona"], s["orden_fecha"])
+        if at is None or at == "":
+            continue
+        there = (datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=at)).astimezone(ZoneInfo(s["zona"]))
+        event, arrival = there.year * 12 + there.month - 1, r["anio"] * 12 + r["mes"] - 1
+        if arrival - event <= 4 and (r["ocid"] not in best or (arrival, r["fila_id"]) > best[r["ocid"]][0]):
+            best[r["ocid"]] = ((arrival, r["fila_id"]), event, r["comprador_ruc"])
+    change = Counter((e // 12, e % 12 + 1, b) for _, e, b in best.values() if b is not None)
+    for r in {tuple(x) for x in table(spark, data, "hecho_mes").collect()}:
+        if r[2] is not None:
+            change[r[0], r[1], r[2]] -= r[5] or 0
+    got = {(r["anio"], r["mes"], r["comprador_ruc"]): r["n_cambio"] for r in problems.p1_found(spark, data).collect()}
+    assert got == {k: v for k, v in change.items() if v}
