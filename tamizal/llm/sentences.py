@@ -143,13 +143,13 @@ def learn(df: DataFrame, *, text: str = "text", lang: str = "lang") -> DataFrame
     words = counts.where("k = 'w'").select("lang", F.col("a").alias("w"), F.col("n").alias("nw"))
     lower = counts.where("k = 'l'").select("lang", F.col("a").alias("w"), F.col("n").alias("nl"))
     total = words.groupBy("lang").agg(F.sum("nw").alias("tot"))
-    common = words.join(lower, ["lang", "w"]).where("nl >= 3 and nl >= 0.1 * nw")
+    common = words.join(lower, ["lang", "w"]).where("nl >= 3 and nl >= 0.1 * nw").checkpoint()
     pairs = counts.where("k = 'p'").select("lang", "a", "b", "c", "n")
     sure = counts.where("k = 's'").select("lang", F.col("a").alias("w"), F.col("n").alias("ns"))
     total_s = sure.groupBy("lang").agg(F.sum("ns").alias("fines"))
     s = sure.join(words, ["lang", "w"]).join(F.broadcast(total), "lang").join(F.broadcast(total_s), "lang")  # a row per language
     s_llr = _ratio(F.col("ns").cast("double"), F.col("fines").cast("double"), F.greatest("nw", "ns").cast("double"), F.col("tot").cast("double"))
-    starts = s.where((F.col("ns") >= MIN_COUNT) & (s_llr > STRONG_RATIO) & (F.col("ns") / F.col("fines") > F.col("nw") / F.col("tot"))).select("w").distinct()
+    starts = s.where((F.col("ns") >= MIN_COUNT) & (s_llr > STRONG_RATIO) & (F.col("ns") / F.col("fines") > F.col("nw") / F.col("tot"))).select("w").distinct().checkpoint()
     starter = starts.select(F.lit("inicio").alias("clase"), F.col("w").alias("a"), F.lit("").alias("b"))
     # what follows each type: lower case, figures, names, and words that start sentences
     ordinary_words = common.select("w").union(starts).distinct().select(F.col("w").alias("b"), F.lit(1).alias("es_comun"))
@@ -181,7 +181,7 @@ def learn(df: DataFrame, *, text: str = "text", lang: str = "lang") -> DataFrame
     # a few mislabelled documents must not decide: the languages together have to agree
     pooled = each.groupBy("a").agg(F.max("abrev").alias("alguna"), F.max("lettered").alias("lettered"), *[F.sum(x).alias(x) for x in ("np", "n_low", "n_num", "n_name", "n_word")])
     agree = (goes_on >= 0.35 * settled) | ((F.col("n_low") >= 0.12 * settled) & F.col("a").contains("."))
-    judged = pooled.withColumn("abrev", F.col("alguna") & agree)
+    judged = pooled.withColumn("abrev", F.col("alguna") & agree).checkpoint()  # small, and read six times below
     abbrev = judged.where("abrev").select(F.lit("abrev").alias("clase"), "a", F.lit("").alias("b"))
     figures = judged.where(F.col("lettered") & (F.col("n_num") >= MIN_COUNT) & (F.col("n_num") >= 0.7 * F.greatest(settled, F.lit(1)))).select(F.lit("cifra").alias("clase"), "a", F.lit("").alias("b"))
     # abbreviations that also stand at the end of sentences
