@@ -185,7 +185,7 @@ def learn(df: DataFrame, *, text: str = "text", lang: str = "lang") -> DataFrame
     abbrev = judged.where("abrev").select(F.lit("abrev").alias("clase"), "a", F.lit("").alias("b"))
     figures = judged.where(F.col("lettered") & (F.col("n_num") >= MIN_COUNT) & (F.col("n_num") >= 0.7 * F.greatest(settled, F.lit(1)))).select(F.lit("cifra").alias("clase"), "a", F.lit("").alias("b"))
     # abbreviations that also stand at the end of sentences
-    enders = judged.where(F.col("abrev") & (F.col("n_word") >= 0.15 * settled)).select(F.lit("final").alias("clase"), "a", F.lit("").alias("b"))
+    enders = judged.where(F.col("abrev") & (F.col("n_word") >= 0.15 * settled) & (F.col("n_word") > F.col("n_name"))).select(F.lit("final").alias("clase"), "a", F.lit("").alias("b"))
     plain = pairs.join(judged.where("abrev").select("a"), "a", "left_anti").where(~F.col("a").isin("##") & (F.length("a") > 1) & ~F.col("a").contains("."))
     small = plain.where("c = 'low'").groupBy("lang", F.col("b").alias("w")).agg(F.sum("n").alias("ns"), F.countDistinct("a").alias("de")).where((F.col("ns") >= MIN_COUNT) & (F.col("de") >= 3)).select(F.lit("menor").alias("clase"), F.col("w").alias("a"), F.lit("").alias("b"))
     ordinary = common.select(F.lit("comun").alias("clase"), F.col("w").alias("a"), F.lit("").alias("b"))
@@ -254,6 +254,9 @@ def _full_stop(t: str, i: int, k: int, n: int, model: Model, quoted: bool, loud:
         start -= 1
     token = t[start:i]
     a = type_of(token)
+    a = re.split("[!?…]", a)[-1]
+    if "." in a and len(a.split(".", 1)[0]) > 2 and a.rsplit(".", 1)[1][:1].isalpha() and n > k:
+        a = a.rsplit(".", 1)[1]  # what follows a full stop without a blank
     end = n
     while end < len(t) and end - n < 60 and not t[end].isspace():
         end += 1
@@ -299,7 +302,7 @@ def _full_stop(t: str, i: int, k: int, n: int, model: Model, quoted: bool, loud:
         return False
     abbreviated = a in model.abbreviations or ("." in bare and not any(x.isdigit() for x in bare) and all(len(x) <= 2 for x in bare.split(".")))
     if kind == "num":
-        return a not in model.figures and (not abbreviated or a in model.enders)
+        return a not in model.figures and (a not in model.abbreviations or a in model.enders)
     if not abbreviated:
         if kind == "low":
             return a not in ("##",) or b in model.small
@@ -314,6 +317,8 @@ def _full_stop(t: str, i: int, k: int, n: int, model: Model, quoted: bool, loud:
         return c in "<" or not c.isalpha() and c not in OPENERS
     if (a, b) in model.follows and (loud or a not in model.figures):
         return False if loud else b in model.common or b in model.starters
+    if a in model.abbreviations and a not in model.enders:
+        return b in model.starters and b in model.common  # a title or the like is followed by a name
     if loud:
         return b in model.starters
     return b in model.starters or b in model.common
