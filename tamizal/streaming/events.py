@@ -5,11 +5,12 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.late_events import accepted
 from ..session import ensure_checkpoint_dir
 
 
@@ -74,47 +75,77 @@ def replace_months(path: str) -> Callable[[DataFrame, int], None]:
     return lambda batch, _: write_months(batch, path)
 
 
-def replay_stream(events: DataFrame, *, key: str, event: str, value: str, every: int, max_late: int) -> DataFrame:
+def _partial_sums(key: str, event: str, value: str) -> Callable[[Iterator], Iterator]:
+    """Sums per key and period of every Arrow batch: no state, so it can precede the stateful step."""
+
+    def sums(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            t = pa.Table.from_batches([batch]).group_by([key, event], use_threads=False).aggregate([(value, "sum")])
+            yield from t.select([key, event, f"{value}_sum"]).rename_columns([key, event, value]).to_batches()
+
+    return sums
+
+
+def replay_stream(events: DataFrame, *, key: str, event: str, value: str, every: int, max_late: int, arrival: str | None = None) -> DataFrame:
     """Running totals per key in event order, corrected as late events arrive.
 
-    The state of a key holds its sorted recent events and a snapshot of (period, running total) at
-    every `every` periods.  A late event restores the snapshot before it, replays the sorted suffix,
-    and gives out again every period from there, with a higher version that replaces the earlier one.
-    Events more than `max_late` periods behind the newest of their key are left out, and events that
-    no late one can precede any more are folded into the oldest snapshot, so state stays bounded.
+    The state of a key holds its sums per period and a snapshot of (period, running total) at every
+    `every` periods.  A late event restores the snapshot before it, replays the sorted suffix, and
+    gives out again every period from there, with a higher version that replaces the earlier one.
+
+    With `arrival` (the period of the delivery an event came in) an event is late by its own two
+    periods, as in `late_events.accepted`, so the results do not depend on how the events fall into
+    batches; any period can still be corrected, and state grows by one sum per period of a key.
+    Without it the only time known is that of the stream: events more than `max_late` periods behind
+    the newest of their key in EARLIER batches are left out, and periods that no late event can
+    precede any more are folded into the oldest snapshot.
+
+    Events without key or period are left out; a null value adds nothing.  Only sums per key and
+    period of each Arrow batch are shuffled, so a hot key does not gather its events in one task.
     """
     import pandas as pd
 
     kind = events.schema[key].dataType.simpleString()
+    by_arrival = arrival is not None
 
     def step(k, frames, state):
         log, snaps, newest, version = state.get if state.exists else ([], [], None, 0)
-        log, snaps = [tuple(x) for x in log], [tuple(x) for x in snaps]
-        got = [(int(p), float(v)) for f in frames for p, v in zip(f[event], f[value])]
-        newest = max([newest, *(p for p, _ in got)] if newest is not None else [p for p, _ in got])
-        got = sorted(x for x in got if newest - x[0] <= max_late)
+        log, snaps = {p: v for p, v in log}, [tuple(x) for x in snaps]
+        got: dict[int, float] = {}
+        for f in frames:
+            for p, v in zip(f[event], f[value]):
+                if by_arrival or newest is None or newest - p <= max_late:
+                    got[int(p)] = got.get(int(p), 0.0) + float(v)
         if got:
             version += 1
-            first = got[0][0]
+            first = min(got)
+            newest = max(got) if newest is None else max(newest, *got)
             snaps = [s for s in snaps if s[0] <= first]  # restore the checkpoint before the first new event
-            at, total = snaps[-1] if snaps else (min(first, log[0][0]) if log else first, 0.0)
-            log = sorted([*log, *got])
-            suffix = [x for x in log if x[0] >= at]
+            at, total = snaps[-1] if snaps else (min([first, *log]), 0.0)
+            for p, v in got.items():
+                log[p] = log.get(p, 0.0) + v
             out, seen = {}, at
-            for p, v in suffix:
+            for p in sorted(x for x in log if x >= at):
                 while seen + every <= p:
                     seen += every
                     snaps.append((seen, total))
-                total += v
+                total += log[p]
                 out[p] = total
-            settled = [s for s in snaps if s[0] <= newest - max_late]
+            settled = [] if by_arrival else [s for s in snaps if s[0] <= newest - max_late]
             if settled:  # nothing can arrive before this snapshot any more
                 snaps = [s for s in snaps if s[0] >= settled[-1][0]]
-                log = [x for x in log if x[0] >= settled[-1][0]]
+                log = {p: v for p, v in log.items() if p >= settled[-1][0]}
             rows = [(k[0], p, t, version) for p, t in sorted(out.items()) if p >= first]
             yield pd.DataFrame(rows, columns=[key, event, "total", "version"])
-        state.update((log, snaps, newest, version))
+        state.update((sorted(log.items()), snaps, newest, version))
 
+    if arrival is not None:
+        events = accepted(events, key=key, event=event, arrival=arrival, max_late=max_late)
+    kept = events.where(F.col(key).isNotNull() & F.col(event).isNotNull())
+    kept = kept.select(key, F.col(event).cast("int").alias(event), F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias(value))
+    sums = kept.mapInArrow(_partial_sums(key, event, value), f"`{key}` {kind}, `{event}` int, `{value}` double")
     out = f"`{key}` {kind}, `{event}` int, total double, version int"
     pair = "array<struct<p:int,v:double>>"
-    return events.groupBy(key).applyInPandasWithState(step, out, f"log {pair}, snaps {pair}, newest int, version int", "update", "NoTimeout")
+    return sums.groupBy(key).applyInPandasWithState(step, out, f"log {pair}, snaps {pair}, newest int, version int", "update", "NoTimeout")

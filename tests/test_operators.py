@@ -1,3 +1,4 @@
+import json
 import os
 
 import pytest
@@ -171,6 +172,52 @@ def test_replay_stream(spark, tmp_path):
     assert {k: v[1] for k, v in out.items()} == {("a", 1): 1.0, ("a", 2): 11.0, ("a", 4): 13.0, ("a", 5): 14.0, ("a", 8): 16.0, ("a", 9): 17.0, ("b", 1): 5.0}
 
 
+def replayed(spark, folder, batches, **how):
+    """The last version of every total of a stream over one file per batch (k, p, v, arrival)."""
+    for i, rows in enumerate(batches):
+        path = folder / "in" / f"{i}.json"
+        path.parent.mkdir(exist_ok=True, parents=True)
+        path.write_text("\n".join(json.dumps(dict(zip("kpva", r))) for r in rows))
+        os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
+    src = spark.readStream.schema("k string, p int, v double, a int").option("maxFilesPerTrigger", 1).json(str(folder / "in"))
+    out: dict = {}
+
+    def keep(batch, _):
+        for r in batch.collect():
+            if (r["k"], r["p"]) not in out or out[r["k"], r["p"]][0] < r["version"]:
+                out[r["k"], r["p"]] = (r["version"], r["total"])
+
+    stream = streams.replay_stream(src, key="k", event="p", value="v", every=2, max_late=4, **how)
+    stream.writeStream.outputMode("update").option("checkpointLocation", str(folder / "c")).trigger(availableNow=True).foreachBatch(keep).start().awaitTermination()
+    return {k: v[1] for k, v in out.items()}
+
+
+def test_replay_stream_keeps_a_backlog(spark, tmp_path):
+    """A first batch of 24 periods, none of them late, is kept whole."""
+    got = replayed(spark, tmp_path, [[("a", p, 1.0, p) for p in range(24)], [("a", 18, 9.0, 24), ("a", 19, 2.0, 23)]])
+    assert got == {("a", p): p + 1.0 + (2.0 if p >= 19 else 0.0) for p in range(24)}
+
+
+def test_replay_stream_does_not_depend_on_batches(spark, tmp_path):
+    import random
+
+    rnd = random.Random(4)
+    rows = []
+    for _ in range(300):
+        arrival = rnd.randint(0, 30)
+        key, late = rnd.choice(["hot", "hot", "b", "c", None]), rnd.choice([0, 0, 1, 4, 5, 9, -1, None])
+        rows.append((key, None if late is None else arrival - late, rnd.choice([1.0, 2.0, 0.5, None]), arrival))
+    want: dict = {}
+    for k, p, v, a in rows:
+        if k is not None and p is not None and a - p <= 4:
+            want[k, p] = want.get((k, p), 0.0) + (v or 0.0)
+    want = {(k, p): sum(v for (x, q), v in want.items() if x == k and q <= p) for k, p in want}
+    in_order = sorted(rows, key=lambda r: r[3])
+    assert replayed(spark, tmp_path / "one", [rows], arrival="a") == want
+    assert replayed(spark, tmp_path / "many", [in_order[i : i + 60] for i in range(0, 300, 60)], arrival="a") == want
+    assert replayed(spark, tmp_path / "mixed", [rows[i : i + 60] for i in range(0, 300, 60)], arrival="a") == want
+
+
 def test_stream_windows_equal_batch(spark, data):
     got = streams.stream_windows(spark, data, "1 day")
     want = spark.read.parquet(f"{data}/events.parquet").groupBy(F.date_trunc("day", F.col("ts").cast("timestamp")).alias("desde"), "event_type").count()
