@@ -41,21 +41,21 @@ def checkpoints(events: DataFrame, *, key: str, event: str, arrival: str, order:
 
 
 def replay(points: DataFrame, *, key: str) -> DataFrame:
-    """The corrected state of every key.
+    """The published and the corrected state of every key.
 
-    Keys without out-of-order events keep their last snapshot.  The others restore the checkpoint
-    before the first disturbed segment and replay the sorted suffix; `repuesto` marks their outputs,
-    which replace the published ones.
+    Columns: key, publicado (the state the running fold has published: of all segments, or of those
+    before the first disturbed one, null if there is none), estado (keys with out-of-order events:
+    the restored checkpoint before the first disturbed segment and the replayed suffix; null for the
+    others), repuesto (the key's output has to be replaced by `estado`).
     """
     w = Window.partitionBy(key)
     first = F.min(F.when(F.col("tardio"), F.col("tramo"))).over(w)
     marked = points.withColumn("desde", first)
-    suffix = F.col("desde").isNull() | (F.col("tramo") >= F.col("desde"))
+    disturbed = F.col("desde").isNotNull()
     restored = F.max(F.when(F.col("tramo") == F.col("desde"), F.col("punto")))
-    return marked.groupBy(key).agg(
-        F.greatest(restored, F.max(F.when(suffix, F.col("estado"))), F.max("punto")).alias("estado"),
-        F.max(F.col("desde").isNotNull()).alias("repuesto"),
-    )
+    suffix = F.max(F.when(F.col("tramo") >= F.col("desde"), F.col("estado")))
+    untouched = F.greatest(F.max(F.when(~disturbed, F.col("punto"))), F.max(F.when(~disturbed, F.col("estado"))))
+    return marked.groupBy(key).agg(F.coalesce(restored, untouched).alias("publicado"), F.greatest(restored, suffix).alias("estado"), F.max(disturbed).alias("repuesto"))
 
 
 def restate(
@@ -77,7 +77,8 @@ def restate(
     """
     kept = accepted(events, key=key, event=event, arrival=arrival, max_late=max_late)
     points = checkpoints(kept, key=key, event=event, arrival=arrival, order=order, carry=[group], interval=interval)
-    state = replay(points, key=key)
+    # the outputs of marked keys are replaced, the others stand as they are
+    state = replay(points, key=key).select(F.when(F.col("repuesto"), F.col("estado")).otherwise(F.col("publicado")).alias("estado"))
     new = state.select(F.col("estado.evento").alias("evento"), F.col(f"estado.{group}").alias(group), F.lit(1).cast("long").alias("r"), F.lit(0).cast("long").alias("p"))
     old = published.select(F.col(event).alias("evento"), F.col(group), F.lit(0).cast("long").alias("r"), F.coalesce(F.col(count).cast("long"), F.lit(0)).alias("p"))
     return new.unionByName(old).groupBy("evento", group).agg(F.sum("r").alias("restado"), F.sum("p").alias("publicado"))

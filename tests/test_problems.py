@@ -56,6 +56,20 @@ def test_checkpoints_precede_their_segment(spark):
     assert [r["tardio"] for r in rows] == [False, False, True]
 
 
+def test_replay_uses_only_the_restored_checkpoint(spark):
+    """Checkpoints after the first disturbed segment are void; undisturbed keys keep their last state."""
+    state = "struct<llegada:int,orden:long,evento:int,g:string>"
+    a, b, c, void = (0, 1, 0, "a"), (3, 2, 2, "b"), (6, 3, 6, "c"), (99, 9, 9, "void")
+    rows = [
+        ("late", 0, a, False, None), ("late", 1, b, True, a), ("late", 2, c, False, void),
+        ("first", 0, b, True, None),
+        ("calm", 0, a, False, None), ("calm", 2, c, False, a),
+    ]
+    points = spark.createDataFrame(rows, f"k string, tramo int, estado {state}, tardio boolean, punto {state}")
+    got = {r["k"]: (r["publicado"] and tuple(r["publicado"]), r["estado"] and tuple(r["estado"]), r["repuesto"]) for r in late_events.replay(points, key="k").collect()}
+    assert got == {"late": (a, c, True), "first": (None, b, True), "calm": (c, None, False)}
+
+
 # Nested records
 
 
