@@ -10,7 +10,7 @@ the batch without a shuffle.
 Defined cases: null, empty and unreadable texts give nothing, and so does a release without `ocid`;
 text that holds a JSON array is that array; an object delivered without an array is at place 0; null
 elements are counted but not given; elements and fields of any other shape give nothing; a missing
-id is ''.
+id is ''; of a key that an object repeats the last value counts.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 #: Name of the child table -> field of the release's tender.
 TENDER_CHILDREN = {"items": "items", "oferentes": "tenderers", "consultas": "enquiries", "lotes": "lots"}
+#: Standard JSON only; text that is not goes to the column of unreadable records.
+STRICT = {"columnNameOfCorruptRecord": "__bad", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 TAX_ID = r"(?<![0-9])([0-9]{10,13})(?![0-9])"
 
 
@@ -35,7 +37,7 @@ def _children(text: Column, tax_id: bool = False) -> Column:
     """list<struct<es: is an object, id: its id as text>>."""
 
     def child(x: Column) -> Column:
-        own = F.coalesce(F.get_json_object(x, "$.id"), F.lit(""))
+        own = F.coalesce(F.from_json(x, "id string")["id"], F.lit(""))
         return F.struct(F.coalesce(F.trim(x).startswith("{"), F.lit(False)).alias("es"), (F.regexp_extract(own, TAX_ID, 1) if tax_id else own).alias("id"))
 
     return F.transform(_elements(text), child)
@@ -44,9 +46,9 @@ def _children(text: Column, tax_id: bool = False) -> Column:
 def nested_releases(df: DataFrame, *, row: str, text: str) -> DataFrame:
     """(row, releases): the records that are valid JSON as a whole, in one typed nested column."""
     d = df.select(F.col(row).cast("long").alias("reg_id"), F.col(text).alias("__t"))
+    d = d.withColumn("__p", F.from_json("__t", "releases string, ocid string, tender string, awards string, __bad string", STRICT))
     # the first test is strict about the text, the second about what follows the first value
-    d = d.where(F.try_parse_json("__t").isNotNull() & (F.json_array_length(F.concat(F.lit("["), F.col("__t"), F.lit("]"))) == 1))
-    d = d.withColumn("__p", F.from_json("__t", "releases string, ocid string, tender string, awards string"))
+    d = d.where(F.col("__p.__bad").isNull() & (F.json_array_length(F.concat(F.lit("["), F.col("__t"), F.lit("]"))) == 1))
     inner = F.transform(_elements(F.col("__p.releases")), lambda r: F.from_json(r, "ocid string, tender string, awards string"))
     own = F.array(F.struct(*[F.col(f"__p.{c}").alias(c) for c in ("ocid", "tender", "awards")]))
     d = d.select("reg_id", F.when(F.col("__p.releases").isNotNull(), inner).otherwise(own).alias("__r"))

@@ -109,6 +109,22 @@ def brute_children(reg, text):
                     yield "items", reg, rel["ocid"], plain(a.get("id")), i, plain(x.get("id"))
 
 
+def test_a_repeated_key_counts_with_its_last_value(spark):
+    texts = [
+        '{"ocid": "a", "ocid": "b", "tender": {"items": [{"id": 1, "id": 2}]}}',
+        '{"ocid": "a", "tender": {"items": [{"id": 1}]}, "tender": {"items": [{"x": 1, "x": 2, "id": "z"}, {"id": 5, "id": null}]}}',
+        '{"releases": [{"ocid": "c", "tender": {"lots": [{"id": 1}], "lots": {"id": 3}}}], "x": {"k": 1, "k": 2}}',
+        '{"ocid": "d", "awards": [{"id": 1, "id": 9, "items": [{"id": 4}]}], "ocid": "e"}',
+        '{"ocid": "f", "tender": {"tenderers": [{"id": "1791240502001", "id": "EC-RUC-0990004196001-1"}]}}',
+    ]
+    valid = '{"ocid": "g", "n": 1, "s": "t", "tender": {"items": [{"id": 1}]}}'
+    texts += [valid.replace(a, b) for a, b in [('"n": 1', "'n': 1"), ("1,", "NaN,"), ("1,", "01,"), ("1,", "1,,"), ("1,", "1.,"), ('"t"', '"\t"'), ('"t"', '"\\q"'), ("}]}}", "}]}},"), ("}]}}", "}]}"), ('"t"', "t"), ("1,", "Infinity,"), ('"g"', '"g" /* c */')]]
+    rows = list(enumerate(texts))
+    got = {tuple(r) for r in nested.flatten_children(spark.createDataFrame(rows, "r long, t string"), row="r", text="t").collect()}
+    want = {(x[0], x[1], x[2], x[3], x[4], x[5]) for i, t in rows for x in brute_children(i, t) if "NaN" not in t and "Infinity" not in t}
+    assert got == want and {r[1] for r in got} == {0, 1, 2, 3, 4}
+
+
 def test_children_of_odd_records(spark):
     item = {"id": 7}
     records = [
