@@ -48,6 +48,9 @@ HEAD_MARK = re.compile(r"\s*(?:\d{1,3}|[A-Za-z]|[ivxlcIVXLC]{1,6})(?:\.\d{1,3})*
 WORD = re.compile(r"[^\W\d_]+(?:[\u0300-\u036f][^\W\d_]*)*")
 WHOLE_WORD = re.compile(r"(?<![\w.])[^\W\d_][^\W\d_\u0300-\u036f]*(?!\w)")
 WEB = re.compile(r"(?<!\S)\S*?(?:www\.|://|@)\S*", re.I)
+#: Letters of scripts without blanks: a run of them is not part of an address.
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3000-\u30ff\u3400-\u9fff\uf900-\ufaff\uff00-\uffef"
+ADDRESS = re.compile(rf"(?<![^\s{UNSPACED}])[^\s{UNSPACED}]*?(?:www\.|://|@)[^\s{UNSPACED}]*", re.I)
 STOPPED = re.compile(r"(?<!\S)(\S+)\.(?=\s+(\S+))")
 #: The first word of a block, or one after a question or exclamation mark: certainly a start.
 SURE_START = re.compile(r"(?:\A|\n\s*\n|[!?]\s)\s*[¿¡«\"„“]?([^\W\d_]+)")
@@ -247,8 +250,21 @@ def _protected(t: str) -> list[tuple[int, int]]:
     return out
 
 
-def _full_stop(t: str, i: int, k: int, n: int, model: Model, quoted: bool, loud: bool, head: int) -> bool:
-    """Whether the full stop at i (closing marks up to k, next text at n) ends a sentence."""
+def _addresses(t: str) -> list[tuple[int, int, int]]:
+    """(start, end, end of the first www. or ://, else the end) of every web or mail address."""
+    low = t.lower()
+    if "www." not in low and "://" not in low and "@" not in low:
+        return []
+    out = []
+    for m in ADDRESS.finditer(t):
+        mark = re.search(r"www\.|://", m[0], re.I)
+        out.append((m.start(), m.end(), m.start() + mark.end() if mark else m.end()))
+    return out
+
+
+def _full_stop(t: str, i: int, k: int, n: int, model: Model, quoted: bool, loud: bool, head: int, address: bool) -> bool:
+    """Whether the full stop at i (closing marks up to k, next text at n) ends a sentence; address
+    tells that it belongs to a web or mail address."""
     start = i
     while start > 0 and i - start < 80 and not t[start - 1].isspace():
         start -= 1
@@ -264,7 +280,7 @@ def _full_stop(t: str, i: int, k: int, n: int, model: Model, quoted: bool, loud:
     b, kind = next_of(after)
     c = t[n]
     whole = t[start : end if n == k else i + 1].lower()
-    web = "www." in whole or "://" in whole or "@" in whole
+    web = address or "www." in whole or "://" in whole or "@" in whole
     if c in ",;:)]}»”%·" or c in "—–-" and n > k:
         return False
     bare = a.rstrip(".")
@@ -326,9 +342,9 @@ def _full_stop(t: str, i: int, k: int, n: int, model: Model, quoted: bool, loud:
 
 def cut_block(t: str, model: Model, loud: bool) -> list[int]:
     """The ends (exclusive) of the sentences of one block of running text."""
-    spans = _protected(t)
+    spans, addresses = _protected(t), _addresses(t)
     head = len(t) - len(t.lstrip())
-    ends, s = [], 0
+    ends, s, w = [], 0, 0
     last = len(t.rstrip())
     marks = [(m.start(), m.end(), m[0]) for m in TERMINATOR.finditer(t)]
     for m in THAI_GAP.finditer(t):
@@ -342,6 +358,9 @@ def cut_block(t: str, model: Model, loud: bool) -> list[int]:
         while s < len(spans) and spans[s][1] < i:
             s += 1
         inside = s < len(spans) and spans[s][0] < i < spans[s][1]
+        while w < len(addresses) and addresses[w][1] <= i:
+            w += 1
+        address = w < len(addresses) and addresses[w][0] <= i
         k = j
         while k < len(t) and t[k] in CLOSERS and (inside and k <= spans[s][1] or t[k] in ")]}»”」』》）"):
             if t[k] == "“" and not (inside and k == spans[s][1]):
@@ -362,7 +381,7 @@ def cut_block(t: str, model: Model, loud: bool) -> list[int]:
             ends.append(i)
             continue
         if run == ".":
-            if _full_stop(t, i, k, n, model, quoted, loud, head):
+            if _full_stop(t, i, k, n, model, quoted, loud, head, address):
                 ends.append(k)
             continue
         b, kind = next_of(t[n : n + 60].split(None, 1)[0])
@@ -373,6 +392,7 @@ def cut_block(t: str, model: Model, loud: bool) -> list[int]:
         elif any(x in "!?؟۔։‼⁇⁈⁉" for x in run):
             if n == k:
                 ok = (kind == "cap" or c in "¿¡«" or kind == "oth" and c.isalpha()) and not re.search(r"(?:www\.|://)\S*$", t[max(0, i - 200) : i], re.I)
+                ok = ok and not (address and addresses[w][2] <= i)
             else:
                 ok = not (quoted and kind == "low" and b not in model.small) and c not in ",;:)—–-"
                 ok = ok and not (quoted and kind == "oth" and c.isalpha())

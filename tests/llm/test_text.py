@@ -110,6 +110,21 @@ def test_sentences(model, parts):
         assert [text[a:b] for a, b in sentences.sentences(text, model)] == parts
 
 
+@pytest.mark.parametrize("head", ["https://celmi.invalid/", "www.celmi.invalid/", "HTTPS://celmi.invalid/"])
+@pytest.mark.parametrize("size", [10, 90, 250])
+@pytest.mark.parametrize("tail", ["anexo.Pdf", "busca?Proceso=3", "uno!Dos"])
+def test_long_addresses_are_not_cut(model, head, size, tail):
+    parts = [f"Consulte {head}{'ab/' * size}{tail} antes del cierre.", "El comité respondió."]
+    text = " ".join(parts)
+    assert [text[a:b] for a, b in sentences.sentences(text, model)] == parts
+
+
+def test_an_address_does_not_bind_text_without_blanks(model):
+    parts = ["第843包因无有效报价而废标。" * 1, "请联系" + "评审委员会" * 40 + "。", "邮箱a@celmi.invalid"]
+    text = "".join(parts)
+    assert [text[a:b] for a, b in sentences.sentences(text, model)] == parts
+
+
 def test_structure(model):
     text = "1. Objeto de la contratación\n\nLos requisitos mínimos son:\ni. muestra de 2.5 kg. Se devuelve al cierre;\nii. copia del certificado.\n\nEl plazo es de 9\ndías. Fin\r\nde la línea."
     assert [text[a:b] for a, b in sentences.sentences(text, model)] == [
