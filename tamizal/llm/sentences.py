@@ -31,6 +31,10 @@ MIN_COUNT = 3
 #: Published thresholds of the unsupervised method: abbreviation score, and the ratio (p < 0.005).
 ABBREVIATION_SCORE = 0.3
 STRONG_RATIO = 7.88
+#: Types over this length, and tokens without one, are not told apart: their stops count under one
+#: common type (no token has a blank), so that the totals cover all full stops.
+LONGEST_TYPE = 40
+UNJUDGED = " "
 
 OPENERS = "¿¡«“„‘‚\"'([{「『《〈（【"
 CLOSERS = "»”’\"')]}」』》〉）】“"
@@ -107,7 +111,8 @@ def _count(batches: Iterator) -> Iterator:
             words.setdefault((lang, loud), Counter()).update(WHOLE_WORD.findall(WEB.sub(" ", text) if web else text))
             for m in STOPPED.finditer(text):
                 a, (b, kind) = type_of(m[1]), next_of(m[2])
-                if not a or len(a) > 40:
+                if not a or len(a) > LONGEST_TYPE:
+                    seen[lang, "p", UNJUDGED, "", "oth"] += 1
                     continue
                 seen[lang, "p", a, b, "loud" if loud and kind == "cap" else kind] += 1
             if not loud:

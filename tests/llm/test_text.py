@@ -125,6 +125,16 @@ def test_an_address_does_not_bind_text_without_blanks(model):
     assert [text[a:b] for a, b in sentences.sentences(text, model)] == parts
 
 
+def test_stops_after_long_types_are_counted():
+    import pyarrow as pa
+
+    texts = ["Corto. Sigue", "x" * 41 + ". Sigue", "評" * 90 + ". 請", "(\"). Sigue", "y" * 40 + ". Sigue"]
+    batch = pa.RecordBatch.from_arrays([pa.array(["es"] * 5), pa.array(texts)], names=["lang", "t"])
+    rows = [r for b in sentences._count(iter([batch])) for r in b.to_pylist() if r["k"] == "p"]
+    assert sum(r["n"] for r in rows) == 5
+    assert {(r["a"], r["b"], r["c"], r["n"]) for r in rows if r["a"] == sentences.UNJUDGED} == {(sentences.UNJUDGED, "", "oth", 3)}
+
+
 def test_structure(model):
     text = "1. Objeto de la contratación\n\nLos requisitos mínimos son:\ni. muestra de 2.5 kg. Se devuelve al cierre;\nii. copia del certificado.\n\nEl plazo es de 9\ndías. Fin\r\nde la línea."
     assert [text[a:b] for a, b in sentences.sentences(text, model)] == [
