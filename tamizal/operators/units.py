@@ -155,28 +155,53 @@ def known_names(spark: SparkSession, units: DataFrame) -> DataFrame:
     return both.select(plain_name(F.col("alias")).alias("alias"), "unidad").distinct()
 
 
+def allowed_distance(a: Column, b: Column) -> Column:
+    """The distance that two names have to stay under; those under four letters have to be equal."""
+    return F.when(F.least(F.length(a), F.length(b)) < 4, F.lit(0.25)).otherwise(F.greatest(F.length(a), F.length(b)) * MAX_DISTANCE)
+
+
+def least_shared(c: Column, n_grams: Column, allowed: Column) -> Column:
+    """The least number of its 2-grams that a name shares with any other within the allowed distance.
+
+    Per unit of cost an edit destroys at most 5 grams of a name (a swap 3 for 0.6, a doubled letter
+    or blank 2 for 0.4); only its plural letters, of which each can be dropped once, go for 0.25 and
+    destroy 2, which is 0.75 more than that rate.
+    """
+    plurals = F.regexp_count(c, F.lit(r"s(?= |\z)|e(?=s(?: |\z))"))
+    return n_grams - 5 * allowed - 0.75 * plurals - 1e-9
+
+
 def match_names(names: DataFrame, known: DataFrame) -> DataFrame:
     """(nombre, unidad): every distinct name within the allowed distance of a known one.
 
-    The inverted index (n-gram -> known names) proposes the known names that share enough n-grams;
-    the edit distance decides.  The index has the size of the fixed vocabulary.
+    The inverted index (n-gram -> known names) proposes the known names that share enough n-grams for
+    the allowed distance; the edit distance decides.  The index has the size of the fixed vocabulary.
     """
     # every known name is in the index under each of its n-grams; its size does not follow the data
-    index = known.withColumn("ga", grams(F.col("alias"))).select("alias", "unidad", F.size("ga").alias("na"), F.explode("ga").alias("g"))
+    known = known.withColumn("ga", grams(F.col("alias"))).withColumn("na", F.size("ga"))
     # a letter that the other name lacks costs at least 0.25, so a name over three times as long as
     # the longest known one is always beyond MAX_DISTANCE
     longest = 3 * (known.agg(F.max(F.length("alias"))).first()[0] or 0)
     asked = names.where(F.length("nombre") <= longest).withColumn("gn", F.when(F.length("nombre") <= longest, grams(F.col("nombre"))))
-    asked = asked.select("nombre", F.size("gn").alias("nn"), F.explode("gn").alias("g"))
-    shared = asked.join(index, "g").groupBy("nombre", "alias", "unidad").agg(F.count(F.lit(1)).alias("c"), F.first("na").alias("na"), F.first("nn").alias("nn"))
-    near = shared.where(F.col("c") >= 0.4 * F.least("na", "nn"))
+    asked = asked.withColumn("nn", F.size("gn"))
+    index = known.select("alias", "unidad", "na", F.explode("ga").alias("g"))
+    shared = asked.select("nombre", "nn", F.explode("gn").alias("g")).join(index, "g").groupBy("nombre", "alias", "unidad").agg(F.count(F.lit(1)).alias("c"), F.first("na").alias("na"), F.first("nn").alias("nn"))
+    allowed = allowed_distance(F.col("nombre"), F.col("alias"))
+    near = shared.where((F.col("c") >= least_shared(F.col("nombre"), F.col("nn"), allowed)) & (F.col("c") >= least_shared(F.col("alias"), F.col("na"), allowed)))
+    # the longer of two names sets the allowed distance; where its own grams may all be destroyed (few
+    # distinct ones or many plural letters) the index cannot propose, so these go to the distance as they are
+    loose = lambda c, n: least_shared(c, n, F.length(c) * MAX_DISTANCE) <= 0
+    some = known.select("alias", "unidad", "na")
+    pairs = asked.select("nombre", "nn").join(F.broadcast(some), loose(F.col("nombre"), F.col("nn")) | loose(F.col("alias"), F.col("na")))  # known names are few
+    # letters are lacked at 0.25 or more
+    pairs = pairs.where(F.abs(F.length("nombre") - F.length("alias")) * 0.25 < allowed)
+    near = near.select("nombre", "alias", "unidad").unionByName(pairs.select("nombre", "alias", "unidad")).distinct()
 
     @F.pandas_udf("double")
     def distance(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([weighted_distance(x, y) for x, y in zip(a, b)])
 
-    scored = near.withColumn("d", distance("nombre", "alias")).withColumn("largo", F.greatest(F.length("nombre"), F.length("alias")))
-    allowed = F.when(F.least(F.length("nombre"), F.length("alias")) < 4, F.lit(0.25)).otherwise(F.col("largo") * MAX_DISTANCE)
+    scored = near.withColumn("d", distance("nombre", "alias"))
     ok = scored.where((F.col("d") == 0) | ((F.col("d") < allowed) & (F.least(F.length("nombre"), F.length("alias")) >= 3)))
     best = ok.groupBy("nombre").agg(F.min(F.struct("d", F.coalesce("unidad", F.lit("")).alias("u"))).alias("m"))
     return best.select("nombre", F.col("m.u").alias("unidad"))

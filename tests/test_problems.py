@@ -109,6 +109,36 @@ def brute_children(reg, text):
                     yield "items", reg, rel["ocid"], plain(a.get("id")), i, plain(x.get("id"))
 
 
+def test_names_within_the_distance_are_all_proposed(spark):
+    """The index loses no pair that the edit distance accepts."""
+    import random
+
+    rnd = random.Random(6)
+    known = sorted({k for each in units.ALIASES.values() for k in each if k.isalnum() or " " in k} | {"kilogramo", "unidad", "es es es es", "aaaaaaaaaa"})
+    names = {"ecnitmtero ucbico", "es es es es es", "s s s s s s s", "aaaaaaaaaaa", *known}
+    for k in known * 12:
+        w = list(k)
+        for _ in range(rnd.randint(1, 4)):
+            i = rnd.randrange(len(w))
+            how = rnd.random()
+            if how < 0.6 and i:
+                w[i - 1], w[i] = w[i], w[i - 1]
+            elif how < 0.8:
+                w.insert(i, w[i])
+            elif len(w) > 1:
+                del w[i]
+        names.add("".join(w) + rnd.choice(["", "", "s", "es"]))
+    want = {}
+    for n in names:
+        for k in known:
+            short, d = min(len(n), len(k)), units.weighted_distance(n, k)
+            if d == 0 or (short >= 3 and d < (0.25 if short < 4 else max(len(n), len(k)) * units.MAX_DISTANCE)):
+                want[n] = min(want.get(n, (9, "")), (d, k))
+    got = units.match_names(spark.createDataFrame([(n,) for n in names], "nombre string"), spark.createDataFrame([(k, k) for k in known], "alias string, unidad string"))
+    assert {r["nombre"]: r["unidad"] for r in got.collect()} == {n: k for n, (_, k) in want.items()}
+    assert want["ecnitmtero ucbico"][1] == "centimetro cubico"
+
+
 def test_a_repeated_key_counts_with_its_last_value(spark):
     texts = [
         '{"ocid": "a", "ocid": "b", "tender": {"items": [{"id": 1, "id": 2}]}}',
