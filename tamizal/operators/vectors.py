@@ -68,6 +68,13 @@ def nearest(df: DataFrame, reps: DataFrame, *, key: str, vector: str, rep: str,
     return best.where(F.col("similitud") >= least)
 
 
+def similarity_histogram(best: DataFrame, cuts: list[float]) -> DataFrame:
+    """(corte, n, parte): how many rows of `nearest` reach each cut, and their share (T5)."""
+    total = best.agg(F.count(F.lit(1)).alias("total"), *[F.count_if(F.col("similitud") >= c).alias(f"n{i}") for i, c in enumerate(cuts)])
+    each = F.array(*[F.struct(F.lit(c).alias("corte"), F.col(f"n{i}").alias("n")) for i, c in enumerate(cuts)])
+    return total.select("total", F.explode(each).alias("x")).select("x.corte", "x.n", F.try_divide("x.n", "total").alias("parte"))
+
+
 def merge_labels(reps: DataFrame, *, rep: str, vector: str, weight: str, least: float) -> DataFrame:
     """(rep, grupo): labels whose similarity reaches `least`, joined transitively under the heaviest
     (ties: the smallest label) (T4).  The labels are the bounded set of categories."""

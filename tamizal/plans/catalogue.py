@@ -478,8 +478,17 @@ def t02_centroids(spark, sf):
 
 @query()
 def t05_nearest_label(spark, sf):
+    """The nearest label of every vector; below the threshold none is given."""
     e = table(spark, sf, "embeddings")
-    return vectors.nearest(e, vectors.centroids(e, "label", "embedding", 64), key="vec_id", vector="embedding", rep="label", rep_vector="centro")
+    return vectors.nearest(e, vectors.centroids(e, "label", "embedding", 64), key="vec_id", vector="embedding", rep="label", rep_vector="centro", least=0.55)
+
+
+@query()
+def t05_similarity_histogram(spark, sf):
+    """(corte, n, parte): vectors whose best similarity reaches each cut, before any threshold."""
+    e = table(spark, sf, "embeddings")
+    best = vectors.nearest(e, vectors.centroids(e, "label", "embedding", 64), key="vec_id", vector="embedding", rep="label", rep_vector="centro")
+    return vectors.similarity_histogram(best, [0.35, 0.45, 0.55, 0.65, 0.75])
 
 
 @query()

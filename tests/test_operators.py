@@ -96,6 +96,24 @@ def test_nearest_and_merge(spark, monkeypatch):
     assert {r["r"]: r["grupo"] for r in vectors.merge_labels(reps, rep="r", vector="c", weight="n", least=0.92).collect()} == {"a": "c", "b": "b", "c": "c"}
 
 
+def test_no_label_below_the_threshold(spark, tmp_path):
+    """The label of the query needs a similarity of 0.55; the histogram counts all vectors."""
+    from tamizal.plans import catalogue
+
+    unit = lambda **x: [x.get(f"c{i}", 0.0) for i in range(64)]
+    rows = [(1, "a", unit(c0=3.0)), (2, "a", unit(c0=1.0)), (3, "b", unit(c1=4.0)), (4, "b", unit(c1=1.0)), (5, None, unit(c0=0.4, c2=0.9)), (6, None, unit(c0=0.6, c2=0.8))]
+    spark.createDataFrame(rows, "vec_id long, label string, embedding array<float>").where("label is not null or vec_id > 4").write.parquet(str(tmp_path / "embeddings.parquet"))
+    reps = spark.createDataFrame([("a", unit(c0=2.0)), ("b", unit(c1=2.0))], "label string, centro array<double>")
+    e = spark.read.parquet(str(tmp_path / "embeddings.parquet"))
+    best = vectors.nearest(e, reps, key="vec_id", vector="embedding", rep="label", rep_vector="centro")
+    got = [tuple(r) for r in vectors.similarity_histogram(best, [0.35, 0.45, 0.55, 0.75]).orderBy("corte").collect()]
+    assert got == [(0.35, 6, 1.0), (0.45, 5, 5 / 6), (0.55, 5, 5 / 6), (0.75, 4, 4 / 6)]
+    lost = spark.createDataFrame([(9, "a", unit(c0=1.0)), (10, "a", unit(c1=1.0)), (11, "a", unit(c2=1.0)), (12, "a", unit(c3=1.0))], "vec_id long, label string, embedding array<float>")
+    lost.write.parquet(str(tmp_path / "far" / "embeddings.parquet"))
+    assert catalogue.QUERIES["t05_nearest_label"](spark, str(tmp_path / "far")).count() == 0
+    assert {r["n"] for r in catalogue.QUERIES["t05_similarity_histogram"](spark, str(tmp_path / "far")).collect()} == {0, 4}
+
+
 def test_csv_contract(spark, tmp_path):
     (tmp_path / "a.csv").write_text('﻿k,v\n1,"x, ""y"""\n2,\n', encoding="utf-8")
     assert [tuple(r) for r in files.read_csv(spark, str(tmp_path / "a.csv"), ["k", "v"]).collect()] == [("1", 'x, "y"'), ("2", None)]
