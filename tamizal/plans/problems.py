@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import late_events, nested, orphans, quantiles, snapshots, timestamps, units
+from ..operators import late_events, nested, orphans, snapshots, timestamps, units
 from ..session import table
 
 MAX_LATE_MONTHS = 4
@@ -84,40 +84,6 @@ def p4_report(spark: SparkSession, sf: str) -> DataFrame:
     return orphans.orphan_report(*_references(spark, sf))
 
 
-def _price_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    """Prices > 0 of the distinct lines, under every prefix of their code."""
-    i = table(spark, sf, "proceso_item").select("item_fila", "ocid", "item_id", "origen", "cpc", "precio_unitario")
-    once = i.groupBy("ocid", "item_id", "origen").agg(F.min(F.struct("item_fila", "cpc", "precio_unitario")).alias("x")).select("x.cpc", "x.precio_unitario")
-    lines = once.where("precio_unitario > 0 and cpc is not null")
-    # counted per full code first, so that only distinct prices are multiplied by the prefixes
-    exact = quantiles.histogram(lines, group=F.substring("cpc", 1, 5), value=F.col("precio_unitario"))
-    each = exact.select(F.explode(quantiles.prefixes(F.col("grupo"), 5)).alias("grupo"), "valor", "n")
-    return quantiles.merge(each)
-
-
-def p5_percentiles(spark: SparkSession, sf: str) -> DataFrame:
-    """(codigo, n, p10, p25, mediana, p75, p90) of every prefix: the values at rank ceil(q * n)."""
-    total = F.col("total")
-    at = lambda pct: F.floor((total * pct + 99) / 100)
-    ranks = {"p10": at(10), "p25": at(25), "mediana": at(50), "p75": at(75), "p90": at(90)}
-    return quantiles.multi_select(_price_histogram(spark, sf), ranks).withColumnsRenamed({"grupo": "codigo", "total": "n"})
-
-
-def p5_found(spark: SparkSession, sf: str) -> DataFrame:
-    """A figure is wrong when it lies below the value at rank (q - 10) % or above the one at (q + 10) %."""
-    total = F.col("total")
-    ranks = {}
-    for campo, pct in (("p25", 25), ("mediana", 50), ("p75", 75)):
-        ranks[f"{campo}_bajo"] = F.floor((total * (pct - 10) + 99) / 100)
-        ranks[f"{campo}_alto"] = F.floor(total * (pct + 10) / 100) + 1
-    nodes = table(spark, sf, "mercado_nodo").select("codigo", "p25", "mediana", "p75").where("codigo is not null")
-    hist = _price_histogram(spark, sf).join(nodes.select(F.col("codigo").alias("grupo")).distinct(), "grupo", "left_semi")
-    bounds = quantiles.multi_select(hist, ranks)
-    d = nodes.join(bounds, nodes["codigo"] == bounds["grupo"])
-    bad = F.array(*[F.when((F.col(c) < F.col(f"{c}_bajo")) | (F.col(c) > F.col(f"{c}_alto")), F.lit(c)) for c in ("p25", "mediana", "p75")])
-    return d.select("codigo", F.explode(F.array_compact(bad)).alias("campo")).distinct()
-
-
 def p6_instants(spark: SparkSession, sf: str) -> DataFrame:
     """(fila_id, campo, valor, instante_us, lectura) for every value of the three columns."""
     r = table(spark, sf, "proceso_resumen").select("fila_id", "fecha", "publicado", "cierra", "fuente_id")
@@ -147,8 +113,6 @@ def p7_found(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "p2_found": p2_found,
-    "p5_found": p5_found,
-    "p5_percentiles": p5_percentiles,
     "p7_found": p7_found,
     "p7_converted": p7_converted,
     "p1_found": p1_found,
@@ -161,13 +125,10 @@ QUERIES = {
     "p6_instants": p6_instants,
 }
 
-_PRICES = """l as (select cpc, precio_unitario p from (select *, row_number() over (partition by ocid, item_id, origen order by item_fila) r from proceso_item) where r = 1 and precio_unitario > 0 and cpc is not null)"""
 _FOTO = """f as (select foto, trim(ocid) ocid, secuencia, lower(nullif(trim(estado), '')) estado, nullif(trim(proveedor_ruc), '') proveedor_ruc, cast(referencial as decimal(18,2)) referencial, cast(adjudicado as decimal(18,2)) adjudicado from proceso_foto where nullif(trim(ocid), '') is not null), u as (select * from (select *, row_number() over (partition by foto, ocid order by secuencia desc) r from f) where r = 1), d as (select foto, lead(foto) over (order by foto) siguiente from (select distinct foto from proceso_foto where foto is not null)), antes as (select siguiente foto, u.* exclude (foto) from u join d using (foto) where siguiente is not null), ahora as (select * from u where foto > (select min(foto) from d))"""
 _REFS = """r as (select fila_id, 'cpc_nodo' campo, nullif(trim(cpc_nodo), '') clave, anio * 100 + mes periodo from proceso_resumen union all select fila_id, 'proveedor_ruc', nullif(regexp_replace(trim(proveedor_ruc), '^EC-RUC-\\s*(\\d+)\\s*(?:-\\d+)?$', '\\1', 'i'), ''), anio * 100 + mes from proceso_resumen union all select fila_id, 'categoria_id', categoria_id::varchar, anio * 100 + mes from proceso_resumen), p as (select 'cpc_nodo' campo, codigo clave, alta, baja from cpc_nivel union all select 'proveedor_ruc', trim(ruc), alta, baja from entidad union all select 'categoria_id', categoria_id::varchar, alta, baja from categoria), g as (select campo, clave, min(baja) baja from p group by all), h as (select r.*, case when g.clave is null then 'ausente' when g.baja <= periodo then 'borrado' else 'posterior' end clase from r left join g using (campo, clave) where r.clave is not null and not exists (select 1 from p where p.campo = r.campo and p.clave = r.clave and (alta is null or alta <= periodo) and (p.baja is null or periodo < p.baja)))"""
 SQL: dict[str, str] = {
     "p3_found": f"""with {_FOTO} select foto, ocid, case when a.secuencia is null then 'alta' when b.secuencia is null then 'baja' else 'cambio' end cambio from antes a full join ahora b using (foto, ocid) where a.secuencia is null or b.secuencia is null or a.estado is distinct from b.estado or a.proveedor_ruc is distinct from b.proveedor_ruc or a.referencial is distinct from b.referencial or a.adjudicado is distinct from b.adjudicado""",
     "p4_found": f"""with {_REFS} select fila_id, campo, clase from h""",
     "p4_report": f"""with {_REFS} select campo, periodo, count(*) n_referencias, count(clase) n_huerfanas, count(*) filter (clase = 'ausente') ausente, count(*) filter (clase = 'borrado') borrado, count(*) filter (clase = 'posterior') posterior from (select r.*, h.clase from r left join h using (fila_id, campo) where r.clave is not null) group by campo, periodo""",
-    "p5_found": f"""with {_PRICES}, m as (unpivot (select codigo, p25, mediana, p75 from mercado_nodo) on p25, mediana, p75 into name campo value f), c as (select codigo, campo, case campo when 'p25' then 25 when 'p75' then 75 else 50 end q, count(*) n, count(*) filter (p < f) lt, count(*) filter (p <= f) le from m join l on starts_with(cpc, codigo) group by all) select codigo, campo from c where 100 * le < (q - 10) * n or 100 * lt > (q + 10) * n""",
-    "p5_percentiles": f"""with {_PRICES}, e as (select left(cpc, k) codigo, p from l, generate_series(1, 5) g(k) where length(cpc) >= k) select codigo, count(*) n, quantile_disc(p, 0.1) p10, quantile_disc(p, 0.25) p25, quantile_disc(p, 0.5) mediana, quantile_disc(p, 0.75) p75, quantile_disc(p, 0.9) p90 from e group by codigo""",
 }

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +22,7 @@ def build_session(app: str = "tamizal", cpus: str = "8", shuffle: int = 8) -> Sp
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("TAMIZAL_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
@@ -31,12 +34,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Uses the shared folder the cluster names in spark.checkpoint.dir.
 
-    Only a session without that setting (tests on one machine) gets a folder of its own.
+    Without that setting a local session (tests on one machine) gets a folder of its own, removed at
+    its end; a cluster has no folder that all its machines share, so there it is an error.
     """
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        named = sc.getConf().get("spark.checkpoint.dir")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="tamizal-ckpt-"))
+    if sc.getCheckpointDir() is not None:
+        return
+    named = sc.getConf().get("spark.checkpoint.dir")
+    if named is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        named = tempfile.mkdtemp(prefix="tamizal-ckpt-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
+    sc.setCheckpointDir(named)
 
 
 def spread(df: DataFrame) -> DataFrame:

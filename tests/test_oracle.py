@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as entry
 
 duckdb = pytest.importorskip("duckdb")
-SQL = {k: v for k, v in entry.oracle_sql().items() if not k.startswith("p5")}
+SQL = entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
