@@ -22,14 +22,18 @@ def number(c: Column) -> Column:
     return F.when(t.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?(?i:nan|inf|infinity)$"), t.try_cast("double"))
 
 
-def tag_state(c: Column, order: list[str], other: str = "desconocido") -> Column:
-    """The first of `order` in a JSON array (or comma list) of tags (F2)."""
+#: The state that each release tag means, the furthest one first.
+TAG_STATES = {"contract": "cerrado", "award": "adjudicado", "tender": "abierto", "planning": "planificacion"}
+
+
+def tag_state(c: Column, states: dict[str, str] | None = None, other: str = "desconocido") -> Column:
+    """The state of the furthest tag in a JSON array (or comma list) of tags (F2)."""
     t = F.trim(c)
     tags = F.coalesce(F.from_json(t, "array<string>"), F.transform(F.split(F.regexp_replace(t, r'[\[\]"]', ""), ","), lambda x: F.trim(x)))
-    out = F.lit(None).cast("string")
-    for tag in reversed(order):
-        out = F.when(F.array_contains(tags, tag), F.lit(tag)).otherwise(out)
-    return F.coalesce(out, F.lit(other))
+    out = F.lit(other)
+    for tag, state in reversed((states or TAG_STATES).items()):
+        out = F.when(F.array_contains(tags, tag), F.lit(state)).otherwise(out)
+    return out
 
 
 def before(c: Column, mark: str) -> Column:
@@ -37,9 +41,32 @@ def before(c: Column, mark: str) -> Column:
     return F.nullif(F.trim(F.substring_index(c, mark, 1)), F.lit(""))
 
 
+def digits_only(c: Column) -> Column:
+    """Whether a text consists of figures (and has any)."""
+    return (F.length(c) > 0) & (F.translate(c, "0123456789", "") == "")
+
+
 def tax_id(c: Column) -> Column:
-    """10 to 13 digits, bare or inside the source's wrapping (F5); anything else is null."""
-    return F.nullif(F.regexp_extract(F.trim(c), r"^(?i:EC-RUC-)?(\d{10,13})(?:(?<=\d)-\d+)?$", 1), F.lit(""))
+    """10 to 13 digits, bare or behind the source's mark, where a sequence may follow.
+
+    The mark may be in any case; a sequence without the mark, and anything else, is null.
+    """
+    t = F.trim(c)
+    marked = F.upper(F.left(t, F.lit(7))) == "EC-RUC-"
+    parts = F.split(F.when(marked, F.substr(t, F.lit(8))).otherwise(t), "-", -1)
+    number = parts[0]
+    plain = (F.size(parts) == 1) | (marked & (F.size(parts) == 2) & digits_only(F.get(parts, F.lit(1))))
+    return F.when(plain & digits_only(number) & F.length(number).between(10, 13), number)
+
+
+def is_natural(c: Column) -> Column:
+    """Whether the third figure of a tax id stands for a person (F6); false without figures."""
+    return F.coalesce(digits_only(c) & (F.substring(c, 3, 1) < "6") & (F.length(c) >= 3), F.lit(False))
+
+
+def is_public(c: Column) -> Column:
+    """Whether the third figure of a tax id stands for a public body."""
+    return F.coalesce(digits_only(c) & (F.substring(c, 3, 1) == "6"), F.lit(False))
 
 
 def province(c: Column) -> Column:
@@ -88,6 +115,24 @@ def or_zero_falls(a: Column, b: Column) -> Column:
 
 
 def short_amount(c: Column) -> Column:
-    """1234567 -> '1,2 M' and the like."""
-    one = lambda x: F.regexp_replace(F.format_string("%.1f", x), r"\.", ",")
-    return F.when(c.isNull(), None).when(c >= 1e6, F.concat(one(c / 1e6), F.lit(" M"))).when(c >= 1e3, F.concat(one(c / 1e3), F.lit(" K"))).otherwise(F.format_string("%.0f", c))
+    """1234567 -> '$1.2 M', 5400 -> '$5 K', 12 -> '$12'; an undeclared amount says so."""
+    part = lambda x, places: F.replace(F.format_number(x, places), F.lit(","), F.lit("."))
+    big = F.when(c >= 1e6, F.concat(F.lit("$"), part(c / 1e6, 1), F.lit(" M"))).when(c >= 1e3, F.concat(F.lit("$"), part(c / 1e3, 0), F.lit(" K")))
+    return F.when(c.isNull(), F.lit("no declarado")).otherwise(F.coalesce(big, F.concat(F.lit("$"), part(c, 0))))
+
+
+def node_of(code: Column, five: Column, four: Column) -> Column:
+    """The node a code hangs on, given whether its 5 and its 4 first figures are in the tree."""
+    return F.when(five, F.left(code, F.lit(5))).when(four, F.left(code, F.lit(4)))
+
+
+def process_code(ocid: Column, prefix: str) -> Column:
+    """The source's own code of a process: its id without the publisher's prefix and the last part,
+    which stands for the body and the number in the id (F26)."""
+    t = F.when(ocid.startswith(prefix + "-"), F.substr(ocid, F.lit(len(prefix) + 2))).otherwise(ocid)
+    return F.regexp_replace(t, "-[^-]*$", "")
+
+
+def looks_like_code(c: Column) -> Column:
+    """Capital letters and figures joined by hyphens, or no blank at all."""
+    return c.rlike("^[A-Z0-9]+-[A-Z0-9-]+$") | ~c.contains(" ")

@@ -6,9 +6,12 @@ so results do not depend on partitioning.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import scalars
 from ..session import ensure_checkpoint_dir
 
 
@@ -31,6 +34,24 @@ def last_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(pick).select(*keys, *[F.col(f"__m.__fila.{c}").alias(c) for c in rest])
 
 
+def rank_desc(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """(keys, value, puesto, de): rank() of every distinct value, largest first, and the size of its
+    group, from running counts instead of a window over the group (W1, W2)."""
+    d = running_counts(value_counts(df, keys, value), keys)
+    return d.select(*keys, F.col("__v").alias(value), (F.col("__total") - F.col("__hasta") + 1).alias("puesto"), F.col("__total").alias("de"))
+
+
+def in_tree(df: DataFrame, tree: DataFrame, code: str, name: str = "nodo") -> DataFrame:
+    """Adds the node each code hangs on: its first 5 figures if they are in the tree, else 4.
+
+    Nodes of 4 and 5 figures are at most 110 000 whatever the data, hence the broadcast.
+    """
+    nodes = tree.where(F.col("codigo").rlike("^[0-9]{4,5}$")).select("codigo").distinct()
+    five, four = (F.broadcast(nodes.where(F.length("codigo") == n).select(F.col("codigo").alias(f"__c{n}"))) for n in (5, 4))
+    d = df.join(five, F.left(F.col(code), F.lit(5)) == F.col("__c5"), "left").join(four, F.left(F.col(code), F.lit(4)) == F.col("__c4"), "left")
+    return d.withColumn(name, scalars.node_of(F.col(code), F.col("__c5").isNotNull(), F.col("__c4").isNotNull())).drop("__c5", "__c4")
+
+
 def mode_by(df: DataFrame, keys: list[str], value: str, weight: Column | None = None) -> DataFrame:
     """The most frequent (or heaviest) value per key; ties go to the smallest value."""
     w = F.count(F.lit(1)) if weight is None else F.sum(weight)
@@ -39,14 +60,51 @@ def mode_by(df: DataFrame, keys: list[str], value: str, weight: Column | None =
     return best.select(*keys, value, "peso")
 
 
-def rank_quantile(group: list[str], value: str, fractions: dict[str, float], *, inclusive: bool = False) -> list[Column]:
-    """Quantiles by 0-based position min(int(n*q), n-1) of the sorted values (Q1, Q2), as aggregates.
+def value_counts(df: DataFrame, keys: list[str], value: str, weight: str | None = None) -> DataFrame:
+    """(keys, __t, __v, __n): how often each value (a double) occurs per group, with an order-keeping
+    slice `__t` of the number line: 256 slices an octave, so their number is bounded by the range of
+    the values and not by how many there are.  Null and NaN values do not count."""
+    v = F.col(value).cast("double")
+    d = df.select(*keys, v.alias("__v"), (F.lit(1) if weight is None else F.col(weight)).cast("bigint").alias("__w"))
+    size = F.floor(F.least(F.log2(F.abs("__v")) * 256, F.lit(500_000.0))) + 300_000
+    part = F.when(F.col("__v") == 0, 0).otherwise(F.signum("__v") * size.cast("double")).cast("int")
+    return d.where(F.col("__v").isNotNull() & ~F.isnan("__v")).withColumn("__t", part).groupBy(*keys, "__t", "__v").agg(F.sum("__w").alias("__n"))
+
+
+def running_counts(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """Adds `__hasta` (values up to this one) and `__total` of the group to `value_counts` rows.
 
-    For groups of bounded size; unbounded ones go through operators.quantiles.multi_select.
+    The running count is that of the slices before, which are few rows per group, plus that inside the
+    slice; so no task sorts a group, however many of all rows it holds.
     """
-    values = F.sort_array(F.collect_list(value))
-    n = F.size(values)
-    return [F.element_at(values, (F.least(F.floor(n * F.lit(q)).cast("int"), n - 1) + 1)).alias(name) for name, q in fractions.items()]
+    k = [F.col(c) for c in keys]
+    slices = counts.groupBy(*keys, "__t").agg(F.sum("__n").alias("__s"))
+    over = Window.partitionBy(*k)
+    before = F.sum("__s").over(over.orderBy("__t").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("__s")
+    slices = slices.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(keys)], F.col("__t").alias("__u"), before.alias("__antes"), F.sum("__s").over(over).alias("__total"))
+    inside = counts.withColumn("__r", F.sum("__n").over(Window.partitionBy(*k, F.col("__t")).orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    same = F.col("__t") == F.col("__u")
+    for i, c in enumerate(keys):
+        same = same & F.col(c).eqNullSafe(F.col(f"__k{i}"))
+    j = inside.join(slices, same)
+    return j.select(*keys, "__v", "__n", (F.col("__antes") + F.col("__r")).alias("__hasta"), "__total")
+
+
+def quantiles(counts: DataFrame, keys: list[str], *, index: dict[str, str] | None = None, between: dict[str, float] | None = None) -> DataFrame:
+    """(keys, n, one column per quantile) of `value_counts` rows, exact.
+
+    index: 0-based position in the sorted values as an SQL expression over n (Q1, Q2: 'n div 4',
+    'least(n * 10 div 100, n - 1)').  between: fraction, interpolated between neighbours (Q3).
+    """
+    d = running_counts(counts, keys).withColumnRenamed("__total", "n")
+    at = {name: F.lit(q) * (F.col("n") - 1) for name, q in (between or {}).items()}
+    wanted: dict[str, Column] = {name: F.expr(e) for name, e in (index or {}).items()}
+    for name, pos in at.items():
+        wanted |= {f"__bajo_{name}": F.floor(pos), f"__alto_{name}": F.ceil(pos)}
+    hit = {name: (F.col("__hasta") - F.col("__n") <= i) & (i < F.col("__hasta")) for name, i in wanted.items()}
+    g = d.where(reduce(Column.__or__, hit.values())).groupBy(*keys, "n").agg(*[F.max(F.when(h, F.col("__v"))).alias(name) for name, h in hit.items()])
+    mixed = [(F.col(f"__bajo_{name}") + (F.col(f"__alto_{name}") - F.col(f"__bajo_{name}")) * (pos - F.floor(pos))).alias(name) for name, pos in at.items()]
+    return g.select(*keys, "n", *(index or {}), *mixed)
 
 
 def prefix_levels(df: DataFrame, code: str, longest: int) -> DataFrame:
@@ -77,6 +135,12 @@ def missing_months(loaded: DataFrame, first: tuple[int, int], last: tuple[int, i
     return expected.join(loaded.select("anio", "mes").distinct(), ["anio", "mes"], "left_anti")
 
 
+def orphan_months(items: DataFrame, processes: DataFrame) -> DataFrame:
+    """(anio, mes, lineas): months that have lines and no process."""
+    have = items.where("anio is not null and mes is not null").groupBy("anio", "mes").agg(F.count(F.lit(1)).alias("lineas"))
+    return have.join(processes.select("anio", "mes").distinct(), ["anio", "mes"], "left_anti")
+
+
 def fill_from(df: DataFrame, source: DataFrame, keys: list[str], columns: list[str], *, only_null: bool = True) -> DataFrame:
     """Values of `source` (one row per key) put where df has none, or everywhere."""
     side = source.select(*keys, *[F.col(c).alias(f"__n_{c}") for c in columns])

@@ -1,44 +1,21 @@
 """Queries over whole tables for the inventory's own operators, each with the SQL that defines it.
 
-Names follow the inventory's ids.  Amounts are summed as decimals and given out as doubles, so the
-order of summation does not matter; medians are rounded to six places.
+Names follow the inventory's ids.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars, text
 from ..operators import relational as rel
-from ..operators import snapshots, vectors
+from ..operators import vectors
 from ..session import table
 from ..streaming import events as streams
+from .registry import QUERIES, SQL, dec, money, query
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def register(f):
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            SQL[f.__name__] = sql
-        return f
-
-    return register
-
-
-def dec(c: str | Column, scale: int = 4) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast(f"decimal(18,{scale})")
-
-
-def money(c: str | Column, scale: int = 4) -> Column:
-    """An exact sum, as a double."""
-    return F.sum(dec(c, scale)).cast("double")
-
+__all__ = ["QUERIES", "SQL"]
 
 # Deduplication and keyed selection
 
@@ -55,18 +32,6 @@ def d02_last_delivery(spark, sf):
     return rel.last_by(d, ["ocid"], ["anio", "mes", "fila_id"]).select("ocid", "fila_id", "estado", "anio", "mes")
 
 
-@query("""select ocid, ruc from (select ocid, regexp_extract(trim(proveedor_ruc), '^(?:EC-RUC-)?(\\d{10,13})(?:-\\d+)?$', 1, 'i') ruc, row_number() over (partition by ocid order by anio, mes, fila_id) r from proceso_resumen where regexp_matches(trim(proveedor_ruc), '^(?:EC-RUC-)?(\\d{10,13})(?:-\\d+)?$', 'i')) where r = 1""")
-def d03_first_valid_supplier(spark, sf):
-    d = table(spark, sf, "proceso_resumen").select("ocid", "anio", "mes", "fila_id", scalars.tax_id(F.col("proveedor_ruc")).alias("ruc"))
-    return rel.first_by(d, ["ocid"], ["anio", "mes", "fila_id"], where=F.col("ruc").isNotNull()).select("ocid", "ruc")
-
-
-@query("""select ocid, cpc, peso from (select ocid, cpc, cast(sum(coalesce(cast(monto_linea as decimal(18,4)), 0)) as double) peso, row_number() over (partition by ocid order by sum(coalesce(cast(monto_linea as decimal(18,4)), 0)) desc, cpc) r from proceso_item where cpc is not null group by ocid, cpc) where r = 1""")
-def d05_dominant_code(spark, sf):
-    i = table(spark, sf, "proceso_item").select("ocid", "cpc", "monto_linea")
-    return rel.mode_by(i, ["ocid"], "cpc", F.coalesce(dec("monto_linea"), F.lit(0).cast("decimal(18,4)"))).withColumn("peso", F.col("peso").cast("double"))
-
-
 @query("""select ruc, nombre, peso from (select ruc, nombre, count(*) peso, row_number() over (partition by ruc order by count(*) desc, nombre) r from entidad where nombre is not null group by ruc, nombre) where r = 1""")
 def d08_name_mode(spark, sf):
     return rel.mode_by(table(spark, sf, "entidad").select("ruc", "nombre"), ["ruc"], "nombre")
@@ -75,11 +40,6 @@ def d08_name_mode(spark, sf):
 # Scalars
 
 
-@query("""select fila_id, nullif(regexp_extract(trim(proveedor_ruc), '^(?:EC-RUC-)?(\\d{10,13})(?:-\\d+)?$', 1, 'i'), '') ruc from proceso_resumen""")
-def f05_tax_ids(spark, sf):
-    return table(spark, sf, "proceso_resumen").select("fila_id", scalars.tax_id(F.col("proveedor_ruc")).alias("ruc"))
-
-
 @query("""select distinct ruc, repeat('.', greatest(length(ruc) - 4, 0)) || right(ruc, 4) visible, left(ruc, 2) prefijo from entidad where ruc is not null""")
 def f08_masked(spark, sf):
     d = table(spark, sf, "entidad").where("ruc is not null")
@@ -102,11 +62,6 @@ def f15_code_groups(spark, sf):
     return table(spark, sf, "proceso_item").select("item_fila", scalars.code_prefix(F.col("cpc")).alias("grupo"))
 
 
-@query("""select fila_id, case when length(t) >= 8 then left(t, 300) else '' end comparable from (select fila_id, lower(trim(regexp_replace(regexp_replace(objeto, '[A-Z]{2,}[A-Z0-9]*-[A-Z0-9-]{4,}', ' ', 'g'), '\\s+', ' ', 'g'))) t from proceso_resumen)""")
-def f16_comparable_text(spark, sf):
-    return table(spark, sf, "proceso_resumen").select("fila_id", text.comparable(F.col("objeto")).alias("comparable"))
-
-
 @query("""select distinct nombre, array_to_string(list_sort(list_transform(list_filter(regexp_extract_all(translate(lower(nombre), 'áàäâãéèëêíìïîóòöôõúùüûñç', 'aaaaaeeeeiiiiooooouuuunc'), '[a-z]+'), lambda w: not list_contains(['de','del','la','el','los','las','y','para','en','con','a'], w)), lambda w: case when ends_with(w, 'es') and length(w) > 5 then left(w, length(w) - 2) when ends_with(w, 's') and length(w) > 4 then left(w, length(w) - 1) else w end)), ' ') clave from entidad where nombre is not null""")
 def f17_name_keys(spark, sf):
     return table(spark, sf, "entidad").where("nombre is not null").select("nombre", text.name_key(F.col("nombre")).alias("clave")).distinct()
@@ -159,32 +114,6 @@ def g03_relations(spark, sf):
     return h.groupBy("comprador_ruc", "proveedor_ruc", "anio").agg(money("adjudicado").alias("monto"), F.sum("n_procesos").alias("n_procesos"))
 
 
-@query("""with r as (select metodo, anio, adjudicado / referencial x from proceso_resumen where referencial > 0 and adjudicado > 0), o as (select metodo, anio, x, row_number() over (partition by metodo, anio order by x) - 1 i, count(*) over (partition by metodo, anio) n from r)
-select metodo, anio, n, round(max(x) filter (i = n // 4), 6) p25, round(max(x) filter (i = (3 * n) // 4), 6) p75, round(median(x), 6) mediana from o where n >= 5 group by metodo, anio, n""")
-def g04_ratio_quantiles(spark, sf):
-    r = table(spark, sf, "proceso_resumen").where("referencial > 0 and adjudicado > 0").select("metodo", "anio", (F.col("adjudicado") / F.col("referencial")).alias("x"))
-    w = Window.partitionBy("metodo", "anio")
-    d = r.withColumn("i", F.row_number().over(w.orderBy("x")) - 1).withColumn("n", F.count(F.lit(1)).over(w)).where("n >= 5")
-    at = lambda e: F.round(F.max(F.when(F.col("i") == F.expr(e), F.col("x"))), 6)
-    return d.groupBy("metodo", "anio", "n").agg(at("n div 4").alias("p25"), at("3 * n div 4").alias("p75"), F.round(F.percentile("x", F.lit(0.5)), 6).alias("mediana"))
-
-
-@query("""select ruc, left(nombre, 180) nombre, count(*) n from entidad where ruc is not null and nombre is not null group by all""")
-def g06_name_counts(spark, sf):
-    e = table(spark, sf, "entidad").where("ruc is not null and nombre is not null")
-    return e.groupBy("ruc", F.left("nombre", F.lit(180)).alias("nombre")).agg(F.count(F.lit(1)).alias("n"))
-
-
-@query("""with p as (select cpc, unidad, precio_unitario x from proceso_item where precio_unitario > 0 and cpc is not null and unidad is not null), o as (select *, row_number() over (partition by cpc, unidad order by x) - 1 i, count(*) over (partition by cpc, unidad) n from p)
-select cpc, unidad, n, max(x) filter (i = least(n * 10 // 100, n - 1)) p10, max(x) filter (i = least(n * 25 // 100, n - 1)) p25, max(x) filter (i = least(n * 75 // 100, n - 1)) p75, max(x) filter (i = least(n * 90 // 100, n - 1)) p90, round(median(x), 6) mediana, min(x) minimo, max(x) maximo from o where n >= 5 group by cpc, unidad, n""")
-def g07_value_quantiles(spark, sf):
-    p = table(spark, sf, "proceso_item").where("precio_unitario > 0 and cpc is not null and unidad is not null").select("cpc", "unidad", F.col("precio_unitario").alias("x"))
-    w = Window.partitionBy("cpc", "unidad")
-    d = p.withColumn("i", F.row_number().over(w.orderBy("x")) - 1).withColumn("n", F.count(F.lit(1)).over(w)).where("n >= 5")
-    at = lambda q: F.max(F.when(F.col("i") == F.expr(f"least(n * {q} div 100, n - 1)"), F.col("x")))
-    return d.groupBy("cpc", "unidad", "n").agg(*[at(q).alias(f"p{q}") for q in (10, 25, 75, 90)], F.round(F.percentile("x", F.lit(0.5)), 6).alias("mediana"), F.min("x").alias("minimo"), F.max("x").alias("maximo"))
-
-
 @query("""select cpc, anio, cast(sum(cast(monto_linea as decimal(18,4))) as double) monto, count(distinct ocid) n_procesos from proceso_item where cpc is not null group by cpc, anio""")
 def g08_code_market(spark, sf):
     i = table(spark, sf, "proceso_item").where("cpc is not null")
@@ -200,48 +129,12 @@ def _levels(spark, sf):
     return rel.prefix_levels(d.where(F.col("cpc_nodo").rlike(r"^\d+$")), "cpc_nodo", 5)
 
 
-@query(f"""with {_TREE}, a as (select nodo, count(*) n, count(*) filter (estado = 'abierto') abiertos, cast(sum(cast(adjudicado as decimal(18,4))) filter (adjudicado > 0) as double) monto, count(distinct comprador_ruc) compradores, count(distinct proveedor_ruc) proveedores, round(quantile_cont(adjudicado, 0.25) filter (adjudicado > 0), 6) p25, round(quantile_cont(adjudicado, 0.5) filter (adjudicado > 0), 6) mediana, round(quantile_cont(adjudicado, 0.75) filter (adjudicado > 0), 6) p75, count(*) filter (n_oferentes = 1) un_oferente from e group by nodo)
-select codigo, nivel, coalesce(n, 0) n, coalesce(abiertos, 0) abiertos, coalesce(monto, 0) monto, coalesce(compradores, 0) compradores, coalesce(proveedores, 0) proveedores, p25, mediana, p75, coalesce(un_oferente, 0) un_oferente from cpc_nivel left join a on codigo = nodo
-union all select '_sin_clasificar', 0, count(*), count(*) filter (estado = 'abierto'), coalesce(cast(sum(cast(adjudicado as decimal(18,4))) filter (adjudicado > 0) as double), 0), count(distinct comprador_ruc), count(distinct proveedor_ruc), round(quantile_cont(adjudicado, 0.25) filter (adjudicado > 0), 6), round(quantile_cont(adjudicado, 0.5) filter (adjudicado > 0), 6), round(quantile_cont(adjudicado, 0.75) filter (adjudicado > 0), 6), count(*) filter (n_oferentes = 1) from proceso_resumen where cpc_nodo is null""")
-def g10_tree(spark, sf):
-    """Additive measures are added up per level; distinct counts and quantiles come from the rows."""
-    pos = F.when(F.col("adjudicado") > 0, F.col("adjudicado"))
-
-    def measures(d: DataFrame, *keys: str) -> DataFrame:
-        q = lambda x: F.round(F.percentile(pos, F.lit(x)), 6)
-        return d.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("n"), F.count_if(F.col("estado") == "abierto").alias("abiertos"), money(pos).alias("monto"),
-            F.countDistinct("comprador_ruc").alias("compradores"), F.countDistinct("proveedor_ruc").alias("proveedores"),
-            q(0.25).alias("p25"), q(0.5).alias("mediana"), q(0.75).alias("p75"), F.count_if(F.col("n_oferentes") == 1).alias("un_oferente"),
-        )
-
-    facts = measures(_levels(spark, sf), "nodo").withColumnRenamed("nodo", "codigo")
-    tree = table(spark, sf, "cpc_nivel").select("codigo", "nivel")
-    zero = ["n", "abiertos", "monto", "compradores", "proveedores", "un_oferente"]
-    rest = measures(table(spark, sf, "proceso_resumen").where("cpc_nodo is null")).fillna(0, subset=zero)
-    return rel.left_tree(tree, facts, "codigo", zero).unionByName(rest.select(F.lit("_sin_clasificar").alias("codigo"), F.lit(0).alias("nivel"), "*"))
-
-
 @query(f"""with l as (select cpc_nodo, coalesce(metodo, '(sin método)') metodo, adjudicado from proceso_resumen), e as (select left(cpc_nodo, k) nodo, l.* from l, generate_series(1, 5) g(k) where length(cpc_nodo) >= k and regexp_matches(cpc_nodo, '^\\d+$')) select nodo, metodo, count(*) n, cast(coalesce(sum(cast(adjudicado as decimal(18,4))), 0) as double) monto from e group by nodo, metodo""")
 def g11_node_method(spark, sf):
     d = _levels(spark, sf).groupBy("nodo", F.coalesce("metodo", F.lit("(sin método)")).alias("metodo"))
     return d.agg(F.count(F.lit(1)).alias("n"), F.coalesce(money("adjudicado"), F.lit(0.0)).alias("monto"))
 
 
-@query(f"""with {_TREE} select nodo, proveedor_ruc, count(*) n, cast(coalesce(sum(cast(adjudicado as decimal(18,4))), 0) as double) monto, count(distinct comprador_ruc) compradores from e where proveedor_ruc is not null group by nodo, proveedor_ruc""")
-def g12_node_supplier(spark, sf):
-    d = _levels(spark, sf).where("proveedor_ruc is not null").groupBy("nodo", "proveedor_ruc")
-    return d.agg(F.count(F.lit(1)).alias("n"), F.coalesce(money("adjudicado"), F.lit(0.0)).alias("monto"), F.countDistinct("comprador_ruc").alias("compradores"))
-
-
-@query("""with l as (select left(cpc, 5) c, anio, ocid, monto_linea from proceso_item where cpc is not null), e as (select left(c, k) nodo, l.* from l, generate_series(1, 5) g(k) where length(c) >= k), p as (select nodo, anio, ocid, sum(cast(monto_linea as decimal(18,4))) m from e group by all having sum(cast(monto_linea as decimal(18,4))) > 0)
-select nodo, anio, count(*) n, cast(sum(m) as double) monto, round(median(cast(m as double)), 6) mediana from p group by nodo, anio""")
-def g13_node_year(spark, sf):
-    i = table(spark, sf, "proceso_item").where("cpc is not null").groupBy(F.left("cpc", F.lit(5)).alias("c"), "anio", "ocid").agg(F.sum(dec("monto_linea")).alias("m"))
-    p = rel.prefix_levels(i, "c", 5).groupBy("nodo", "anio", "ocid").agg(F.sum("m").alias("m")).where("m > 0")
-    return p.groupBy("nodo", "anio").agg(F.count(F.lit(1)).alias("n"), F.sum("m").cast("double").alias("monto"), F.round(F.percentile(F.col("m").cast("double"), F.lit(0.5)), 6).alias("mediana"))
-
-
 @query("""select comprador_ruc, count(*) n, cast(sum(n_procesos) as bigint) procesos, min(anio) desde, max(anio) hasta, count(distinct anio) anios from (select distinct * from hecho_mes) where comprador_ruc is not null group by comprador_ruc""")
 def g18_buyer_history(spark, sf):
     h = table(spark, sf, "hecho_mes").distinct().where("comprador_ruc is not null")
@@ -254,12 +147,6 @@ def g19_share_closed(spark, sf):
     return table(spark, sf, "proceso_resumen").groupBy("metodo").agg(F.count(F.lit(1)).alias("n"), F.round(F.lit(100.0) * closed / F.count(F.lit(1)), 2).alias("pct"))
 
 
-@query("""select left(cpc, 5) grupo, descripcion, count(*) n from proceso_item where cpc is not null and descripcion is not null group by all""")
-def g20_description_counts(spark, sf):
-    i = table(spark, sf, "proceso_item").where("cpc is not null and descripcion is not null")
-    return i.groupBy(F.left("cpc", F.lit(5)).alias("grupo"), "descripcion").agg(F.count(F.lit(1)).alias("n"))
-
-
 @query("""select ocid, cast(round(sum(cast(monto_linea as decimal(18,4))), 2) as double) total from proceso_item where origen = 'tender' and monto_linea > 0 group by ocid""")
 def g21_process_totals(spark, sf):
     i = table(spark, sf, "proceso_item").where("origen = 'tender' and monto_linea > 0")
@@ -284,25 +171,6 @@ def g27_reconciliation(spark, sf):
     return a.join(b, "anio", "full").select("anio", "n_cubo", "n_filas", F.round(F.col("n_cubo") / F.col("n_filas"), 4).alias("razon"))
 
 
-@query("""with h as (select distinct * from hecho_mes), a as (select proveedor_ruc ruc, anio, sum(cast(adjudicado as decimal(18,4))) m, sum(n_procesos) n from h where proveedor_ruc is not null group by all), b as (select ruc, cast(sum(m) as double) total, min(anio) desde, max(anio) hasta, count(*) anios, max(anio) filter (anio < 2025) completo from a group by ruc)
-select b.ruc, total, desde, hasta, anios, coalesce(completo, hasta) base, cast(a.m as double) monto_base, a.n::bigint n_base, completo is not null activo from b join a on a.ruc = b.ruc and a.anio = coalesce(completo, hasta)""")
-def g05_supplier_summary(spark, sf):
-    """Totals, and the figures of the last complete year (or else of the only one), in one aggregate."""
-    h = table(spark, sf, "hecho_mes").distinct().where("proveedor_ruc is not null")
-    a = h.groupBy(F.col("proveedor_ruc").alias("ruc"), "anio").agg(F.sum(dec("adjudicado")).alias("m"), F.sum("n_procesos").alias("n"))
-    year = F.struct((F.col("anio") < 2025).alias("completo"), "anio", "m", "n")
-    d = a.groupBy("ruc").agg(F.sum("m").cast("double").alias("total"), F.min("anio").alias("desde"), F.max("anio").alias("hasta"), F.count(F.lit(1)).alias("anios"), F.max(year).alias("b"))
-    return d.select("ruc", "total", "desde", "hasta", "anios", F.col("b.anio").alias("base"), F.col("b.m").cast("double").alias("monto_base"), F.col("b.n").alias("n_base"), F.col("b.completo").alias("activo"))
-
-
-@query("""with p as (select cpc, anio, left(unidad, 40) unidad, precio_unitario x from proceso_item where precio_unitario > 0 and cpc is not null and unidad is not null), o as (select *, row_number() over (partition by cpc, anio, unidad order by x) - 1 i, count(*) over (partition by cpc, anio, unidad) n from p)
-select cpc, anio, unidad, n, max(x) filter (i = least(n * 25 // 100, n - 1)) p25, max(x) filter (i = least(n * 75 // 100, n - 1)) p75, round(median(x), 6) mediana from o where n >= 10 group by cpc, anio, unidad, n""")
-def g14_value_year(spark, sf):
-    p = table(spark, sf, "proceso_item").where("precio_unitario > 0 and cpc is not null and unidad is not null").select("cpc", "anio", F.left("unidad", F.lit(40)).alias("unidad"), F.col("precio_unitario").alias("x"))
-    d = p.groupBy("cpc", "anio", "unidad").agg(F.count(F.lit(1)).alias("n"), *rel.rank_quantile([], "x", {"p25": 0.25, "p75": 0.75}), F.round(F.percentile("x", F.lit(0.5)), 6).alias("mediana"))
-    return d.where("n >= 10")
-
-
 @query("""select (select count(*) from proceso_resumen) filas, (select count(distinct ocid) from proceso_resumen) procesos, (select cast(sum(cast(adjudicado as decimal(18,4))) as double) from proceso_resumen) monto, (select count(distinct ruc) from entidad) entidades, (select count(*) from cpc_nivel where nivel = 1) secciones""")
 def g16_totals(spark, sf):
     """One-row aggregates side by side; each table is read once."""
@@ -312,14 +180,6 @@ def g16_totals(spark, sf):
     return r.join(e).join(n)
 
 
-@query("""select comprador_ruc, c.codigo, c.descripcion, count(*) n, cast(sum(cast(adjudicado as decimal(18,4))) as double) monto, count(distinct proveedor_ruc) proveedores from proceso_resumen r join cpc_nivel c on r.cpc_nodo = c.codigo where estado in ('adjudicado', 'cerrado') and comprador_ruc is not null group by all""")
-def g17_buyer_node(spark, sf):
-    r = table(spark, sf, "proceso_resumen").where(F.col("estado").isin("adjudicado", "cerrado") & F.col("comprador_ruc").isNotNull())
-    # facts first: the descriptions are joined to groups and not to rows
-    d = r.groupBy("comprador_ruc", F.col("cpc_nodo").alias("codigo")).agg(F.count(F.lit(1)).alias("n"), money("adjudicado").alias("monto"), F.countDistinct("proveedor_ruc").alias("proveedores"))
-    return d.join(table(spark, sf, "cpc_nivel").select("codigo", "descripcion"), "codigo")
-
-
 @query("""with l as (select ocid, sum(cast(monto_linea as decimal(18,4))) s from proceso_item where origen = 'tender' group by ocid), r as (select ocid, max(cast(referencial as decimal(18,4))) m from proceso_resumen group by ocid) select count(*) n, count(*) filter (abs(s - m) <= m * 0.02) cerca from l join r using (ocid) where s > 0 and m > 0""")
 def g23_line_check(spark, sf):
     i = table(spark, sf, "proceso_item").where("origen = 'tender'").groupBy("ocid").agg(F.sum(dec("monto_linea")).alias("s"))
@@ -327,14 +187,6 @@ def g23_line_check(spark, sf):
     return i.join(r, "ocid").where("s > 0 and m > 0").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.abs(F.col("s") - F.col("m")) <= F.col("m") * F.lit(0.02).cast("decimal(4,2)")).alias("cerca"))
 
 
-@query("""with s as (select ocid, max(case when origen = 'award' and monto_linea > 0 then 1 else 0 end) a from proceso_item group by ocid) select item_fila, i.ocid, origen from proceso_item i join s using (ocid) where (a = 1 and origen = 'award') or (a = 0 and origen = 'tender')""")
-def sel10_single_origin(spark, sf):
-    """Lines of one origin per process: award where any award line has an amount, else tender."""
-    i = table(spark, sf, "proceso_item").select("item_fila", "ocid", "origen", "monto_linea")
-    awarded = i.where("origen = 'award' and monto_linea > 0").select("ocid").distinct()
-    return i.where("origen = 'award'").join(awarded, "ocid", "left_semi").unionByName(i.where("origen = 'tender'").join(awarded, "ocid", "left_anti")).select("item_fila", "ocid", "origen")
-
-
 @query("""select count(*) lineas, count(*) filter (metodo is null) sin_metodo, round(count(*) filter (metodo is null) / count(*), 6) parte from proceso_item i left join (select ocid, max(metodo) metodo from proceso_resumen group by ocid) r using (ocid)""")
 def j02_lines_without_method(spark, sf):
     m = table(spark, sf, "proceso_resumen").groupBy("ocid").agg(F.max("metodo").alias("metodo"))
@@ -343,44 +195,6 @@ def j02_lines_without_method(spark, sf):
     return d.agg(F.count(F.lit(1)).alias("lineas"), none.alias("sin_metodo"), F.round(none / F.count(F.lit(1)), 6).alias("parte"))
 
 
-def unmet_buyers(r: DataFrame, supplier: str, most: int = 100) -> DataFrame:
-    """Buyers of the nodes a supplier has served that it never served, largest first."""
-    own = r.where(F.col("proveedor_ruc") == supplier)
-    nodes = own.select("cpc_nodo").where("cpc_nodo is not null").distinct()
-    met = own.select("comprador_ruc").where("comprador_ruc is not null").distinct()
-    d = r.where("comprador_ruc is not null").join(nodes, "cpc_nodo", "left_semi").join(met, "comprador_ruc", "left_anti")
-    d = d.groupBy("comprador_ruc").agg(F.count(F.lit(1)).alias("n"), money("adjudicado").alias("monto"))
-    return rel.top_k(d, [F.desc_nulls_last("monto"), F.asc("comprador_ruc")], most)
-
-
-@query("""with s as (select proveedor_ruc from proceso_resumen where regexp_matches(proveedor_ruc, '^\\d{13}$') group by 1 order by count(*) desc, 1 limit 1), own as (select * from proceso_resumen where proveedor_ruc = (select proveedor_ruc from s)) select comprador_ruc, count(*) n, cast(sum(cast(adjudicado as decimal(18,4))) as double) monto from proceso_resumen where comprador_ruc is not null and cpc_nodo in (select cpc_nodo from own where cpc_nodo is not null) and comprador_ruc not in (select comprador_ruc from own where comprador_ruc is not null) group by 1 order by monto desc nulls last, 1 limit 100""")
-def j09_unmet_buyers(spark, sf):
-    """For the supplier with most rows."""
-    r = table(spark, sf, "proceso_resumen").select("proveedor_ruc", "comprador_ruc", "cpc_nodo", "adjudicado")
-    counts = r.where(F.col("proveedor_ruc").rlike(r"^\d{13}$")).groupBy("proveedor_ruc").agg(F.count(F.lit(1)).alias("n"))
-    best = rel.top_k(counts, [F.desc("n"), F.asc("proveedor_ruc")], 1).first()
-    return unmet_buyers(r, best[0] if best else "")
-
-
-@query()
-def s04_release_table(spark, sf):
-    """One row per release of the nested records: title, method, amount (a zero falls through to the
-    budget), tenderers and first tag."""
-    from ..operators import nested
-
-    d = table(spark, sf, "detalle_mes").select("reg_id", "anio", "mes", F.col("registro").alias("t"))
-    d = d.withColumn("p", F.from_json("t", "releases string"))
-    one = F.coalesce(F.from_json("p.releases", "array<string>"), F.array("t"))
-    r = d.select("reg_id", "anio", "mes", F.explode(one).alias("t"))
-    shape = "ocid string, tag string, buyer struct<id:string,name:string>, planning struct<budget:struct<amount:struct<amount:double>>>, tender struct<title:string,value:struct<amount:double>,procurementMethodDetails:string,tenderers:string>"
-    x = r.select("reg_id", "anio", "mes", F.from_json("t", shape).alias("x")).where("x.ocid is not null and x.ocid <> ''")
-    amount = scalars.or_zero_falls(F.col("x.tender.value.amount"), F.col("x.planning.budget.amount.amount"))
-    return x.select(
-        "reg_id", "anio", "mes", F.col("x.ocid").alias("ocid"), F.col("x.tender.title").alias("titulo"), scalars.before(F.col("x.tender.procurementMethodDetails"), " en el convenio").alias("metodo"),
-        amount.alias("referencial"), F.coalesce(F.size(nested._elements(F.col("x.tender.tenderers"))), F.lit(0)).alias("n_oferentes"), scalars.tax_id(F.col("x.buyer.id")).alias("comprador_ruc"),
-        scalars.tag_state(F.col("x.tag"), ["contract", "award", "tender", "planning"]).alias("estado"),
-    )
-
 
 # Joins
 
@@ -394,20 +208,6 @@ def j08_never_met(spark, sf):
     return rel.never_met(d, d, left="s", right="c", through="x")
 
 
-@query("""select distinct nodo from (select left(cpc, k) nodo from proceso_item, generate_series(1, 5) g(k) where cpc is not null) where nodo not in (select codigo from cpc_nivel where codigo is not null)""")
-def j11_unknown_nodes(spark, sf):
-    d = rel.prefix_levels(table(spark, sf, "proceso_item").select("cpc").where("cpc is not null"), "cpc", 5).select(F.col("nodo").alias("codigo"))
-    return rel.difference(d.distinct(), table(spark, sf, "cpc_nivel"), ["codigo"]).withColumnRenamed("codigo", "nodo")
-
-
-@query("""select h.codigo, h.padre, p.nivel nivel_padre from cpc_nivel h left join cpc_nivel p on h.padre = p.codigo where h.nivel > 1 and (p.codigo is null or p.nivel <> h.nivel - 1 or not starts_with(h.codigo, p.codigo))""")
-def j12_tree_integrity(spark, sf):
-    t = table(spark, sf, "cpc_nivel")
-    h, p = t.select("codigo", "padre", "nivel"), t.select(F.col("codigo").alias("pc"), F.col("nivel").alias("nivel_padre"))
-    j = h.where("nivel > 1").join(p, F.col("padre") == F.col("pc"), "left")
-    return j.where("pc is null or nivel_padre <> nivel - 1 or not startswith(codigo, pc)").select("codigo", "padre", "nivel_padre")
-
-
 @query("""select r.fila_id, coalesce(r.cpc, i.cpc) cpc from proceso_resumen r left join (select ocid, min(cpc) cpc from proceso_item group by ocid) i using (ocid)""")
 def j14_filled_codes(spark, sf):
     r = table(spark, sf, "proceso_resumen").select("fila_id", "ocid", "cpc")
@@ -443,11 +243,6 @@ def sel14_page(spark, sf):
     return rel.top_k(table(spark, sf, "proceso_resumen").select("fila_id", "ocid"), [F.asc("ocid"), F.asc("fila_id")], 50, offset=100)
 
 
-@query("""select distinct ocid from proceso_item where ocid is not null and ocid not in (select ocid from proceso_resumen where ocid is not null)""")
-def u02_items_without_process(spark, sf):
-    return rel.difference(table(spark, sf, "proceso_item").select("ocid").where("ocid is not null").distinct(), table(spark, sf, "proceso_resumen"), ["ocid"])
-
-
 @query("""select fila_id, anio, mes from proceso_resumen where anio * 12 + mes between 2025 * 12 + 1 and 2025 * 12 + 8""")
 def sel06_window(spark, sf):
     return table(spark, sf, "proceso_resumen").select("fila_id", "anio", "mes").where("anio * 12 + mes between 2025 * 12 + 1 and 2025 * 12 + 8")
@@ -461,7 +256,12 @@ def t09_search(spark, sf):
     return table(spark, sf, "proceso_resumen").where(text.matches(F.col("objeto"), "guantes de nitrilo")).select("fila_id")
 
 
-@query()
+def _trigram_sql(x: str) -> str:
+    folded = f"regexp_replace(translate(lower({x}), 'áàäâãéèëêíìïîóòöôõúùüûñç', 'aaaaaeeeeiiiiooooouuuunc'), '[^a-z0-9]+', ' ', 'g')"
+    return f"list_distinct(list_transform(range(1, length('  ' || {folded} || ' ') - 1), lambda k: substr('  ' || {folded} || ' ', k, 3)))"
+
+
+@query(f"""with n as (select distinct ruc, nombre, {_trigram_sql('nombre')} a, {_trigram_sql("'Empresa Lorvi S.A.'")} b from entidad where nombre is not null) select * from (select ruc, nombre, round(len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))), 6) similitud from n) where similitud >= 0.15""")
 def t10_similar_names(spark, sf):
     """Names whose trigrams resemble a searched name, with the similarity."""
     d = table(spark, sf, "entidad").select("ruc", "nombre").where("nombre is not null").distinct()
@@ -476,14 +276,26 @@ def t02_centroids(spark, sf):
     return c.join(n, "label").select("label", "n", F.round(F.get("centro", F.lit(0)), 4).alias("c1"), F.round(F.get("centro", F.lit(63)), 4).alias("c64"))
 
 
-@query()
+_CENTRES = "ce as (select label, list(m order by i) c from (select label, i, avg(embedding[i]::double) m from embeddings, generate_series(1, 64) g(i) where len(embedding) = 64 group by all) group by label)"
+_BEST = f"{_CENTRES}, si as (select vec_id, ce.label, list_cosine_similarity(embedding::double[], c) s from embeddings, ce), be as (select vec_id, label, s from (select *, row_number() over (partition by vec_id order by round(s, 6) desc, label) r from si) where r = 1)"
+
+
+@query(f"""with {_BEST} select vec_id, label, round(round(s, 6), 4) similitud from be""")
+def t05_nearest_any(spark, sf):
+    """The nearest label of every vector, however far."""
+    e = table(spark, sf, "embeddings")
+    d = vectors.nearest(e, vectors.centroids(e, "label", "embedding", 64), key="vec_id", vector="embedding", rep="label", rep_vector="centro")
+    return d.withColumn("similitud", F.round("similitud", 4))
+
+
+@query(f"""with {_BEST} select vec_id, label, round(s, 6) similitud from be where round(s, 6) >= 0.55""")
 def t05_nearest_label(spark, sf):
     """The nearest label of every vector; below the threshold none is given."""
     e = table(spark, sf, "embeddings")
     return vectors.nearest(e, vectors.centroids(e, "label", "embedding", 64), key="vec_id", vector="embedding", rep="label", rep_vector="centro", least=0.55)
 
 
-@query()
+@query(f"""with {_BEST}, cu as (select unnest([0.35, 0.45, 0.55, 0.65, 0.75])::double corte) select corte, count(*) filter (round(s, 6) >= corte) n, count(*) filter (round(s, 6) >= corte) / count(*) parte from be, cu group by corte""")
 def t05_similarity_histogram(spark, sf):
     """(corte, n, parte): vectors whose best similarity reaches each cut, before any threshold."""
     e = table(spark, sf, "embeddings")
@@ -491,7 +303,7 @@ def t05_similarity_histogram(spark, sf):
     return vectors.similarity_histogram(best, [0.35, 0.45, 0.55, 0.65, 0.75])
 
 
-@query()
+@query(f"""with recursive {_CENTRES}, w as (select label, count(*) n from embeddings group by label), ed as (select a.label a, b.label b from ce a, ce b where list_cosine_similarity(a.c, b.c) >= 0.92), re(a, b) as (select a, b from ed union select re.a, ed.b from re join ed on re.b = ed.a) select re.a as label, first(re.b order by n desc, re.b) grupo from re join w on w.label = re.b group by re.a""")
 def t04_merged_labels(spark, sf):
     e = table(spark, sf, "embeddings")
     c = vectors.centroids(e, "label", "embedding", 64).join(e.groupBy("label").agg(F.count(F.lit(1)).alias("n")), "label")
@@ -515,11 +327,6 @@ def v09_tax_id_shape(spark, sf):
     return h.agg(F.count_if(~F.col("comprador_ruc").rlike("^[0-9]{13}$")).alias("malos"), F.count("comprador_ruc").alias("total")).select(F.lit("ruc").alias("chequeo"), "malos", "total")
 
 
-@query("""select nivel, count(*) n, count(*) filter (length(codigo) <> nivel) largo_mal, count(*) - count(distinct codigo) repetidos from cpc_nivel group by nivel""")
-def v03_tree_levels(spark, sf):
-    return table(spark, sf, "cpc_nivel").groupBy("nivel").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.length("codigo") != F.col("nivel")).alias("largo_mal"), (F.count(F.lit(1)) - F.countDistinct("codigo")).alias("repetidos"))
-
-
 @query("""select case when substr(ruc, 3, 1) < '6' then repeat('.', greatest(length(ruc) - 4, 0)) || right(ruc, 4) else ruc end ruc_visible, nombre, tipo from entidad where ruc is not null""")
 def x06_masked_view(spark, sf):
     e = table(spark, sf, "entidad").where("ruc is not null")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import late_events, nested, orphans, snapshots, timestamps, units
 from ..session import table
+from .registry import RELEASES_SQL, json_elements
 
 MAX_LATE_MONTHS = 4
 
@@ -127,7 +128,13 @@ QUERIES = {
 
 _FOTO = """f as (select foto, trim(ocid) ocid, secuencia, lower(nullif(trim(estado), '')) estado, nullif(trim(proveedor_ruc), '') proveedor_ruc, cast(referencial as decimal(18,2)) referencial, cast(adjudicado as decimal(18,2)) adjudicado from proceso_foto where nullif(trim(ocid), '') is not null), u as (select * from (select *, row_number() over (partition by foto, ocid order by secuencia desc) r from f) where r = 1), d as (select foto, lead(foto) over (order by foto) siguiente from (select distinct foto from proceso_foto where foto is not null)), antes as (select siguiente foto, u.* exclude (foto) from u join d using (foto) where siguiente is not null), ahora as (select * from u where foto > (select min(foto) from d))"""
 _REFS = """r as (select fila_id, 'cpc_nodo' campo, nullif(trim(cpc_nodo), '') clave, anio * 100 + mes periodo from proceso_resumen union all select fila_id, 'proveedor_ruc', nullif(regexp_replace(trim(proveedor_ruc), '^EC-RUC-\\s*(\\d+)\\s*(?:-\\d+)?$', '\\1', 'i'), ''), anio * 100 + mes from proceso_resumen union all select fila_id, 'categoria_id', categoria_id::varchar, anio * 100 + mes from proceso_resumen), p as (select 'cpc_nodo' campo, codigo clave, alta, baja from cpc_nivel union all select 'proveedor_ruc', trim(ruc), alta, baja from entidad union all select 'categoria_id', categoria_id::varchar, alta, baja from categoria), g as (select campo, clave, min(baja) baja from p group by all), h as (select r.*, case when g.clave is null then 'ausente' when g.baja <= periodo then 'borrado' else 'posterior' end clase from r left join g using (campo, clave) where r.clave is not null and not exists (select 1 from p where p.campo = r.campo and p.clave = r.clave and (alta is null or alta <= periodo) and (p.baja is null or periodo < p.baja)))"""
+_CHILD = """select {name!r} tabla, reg_id, ocid, 'tender' padre, i pos, case json_type(o, '$.id') when 'NULL' then '' else coalesce(o ->> '$.id', '') end hijo_id from (select reg_id, ocid, unnest(range(len(l)))::int i, l[i + 1] o from (select reg_id, ocid, {elements} l from rel)) where json_type(o) = 'OBJECT'"""
+_CHILDREN = " union all ".join(_CHILD.format(name=name, elements=json_elements(f"(r -> '$.tender.{field}')")) for name, field in nested.TENDER_CHILDREN.items() if name != "oferentes")
+_BIDDERS = f"""select tabla, reg_id, ocid, padre, pos, regexp_extract(regexp_replace(hijo_id, '[0-9]{{14,}}', '', 'g'), '[0-9]{{10,13}}') hijo_id from ({_CHILD.format(name="oferentes", elements=json_elements("(r -> '$.tender.tenderers')"))})"""
+_AWARDED = f"""select 'items' tabla, reg_id, ocid, padre, i pos, coalesce(o ->> '$.id', '') hijo_id from (select reg_id, ocid, padre, unnest(range(len(l)))::int i, l[i + 1] o from (select reg_id, ocid, coalesce(a ->> '$.id', '') padre, {json_elements("(a -> '$.items')")} l from (select reg_id, ocid, unnest({json_elements("(r -> '$.awards')")}) a from rel))) where json_type(o) = 'OBJECT'"""
 SQL: dict[str, str] = {
+    "p2_found": f"""with {RELEASES_SQL} select distinct * from ({_CHILDREN} union all {_BIDDERS} union all {_AWARDED})""",
+    "p3_changes": f"""with {_FOTO} select foto entrega, ocid clave, case when a.secuencia is null then 'alta' when b.secuencia is null then 'baja' else 'cambio' end cambio, a.estado estado_antes, b.estado estado_despues, a.proveedor_ruc proveedor_ruc_antes, b.proveedor_ruc proveedor_ruc_despues, cast(a.referencial * 100 as bigint) referencial_antes, cast(b.referencial * 100 as bigint) referencial_despues, cast(a.adjudicado * 100 as bigint) adjudicado_antes, cast(b.adjudicado * 100 as bigint) adjudicado_despues from antes a full join ahora b using (foto, ocid) where a.secuencia is null or b.secuencia is null or a.estado is distinct from b.estado or a.proveedor_ruc is distinct from b.proveedor_ruc or a.referencial is distinct from b.referencial or a.adjudicado is distinct from b.adjudicado""",
     "p3_found": f"""with {_FOTO} select foto, ocid, case when a.secuencia is null then 'alta' when b.secuencia is null then 'baja' else 'cambio' end cambio from antes a full join ahora b using (foto, ocid) where a.secuencia is null or b.secuencia is null or a.estado is distinct from b.estado or a.proveedor_ruc is distinct from b.proveedor_ruc or a.referencial is distinct from b.referencial or a.adjudicado is distinct from b.adjudicado""",
     "p4_found": f"""with {_REFS} select fila_id, campo, clase from h""",
     "p4_report": f"""with {_REFS} select campo, periodo, count(*) n_referencias, count(clase) n_huerfanas, count(*) filter (clase = 'ausente') ausente, count(*) filter (clase = 'borrado') borrado, count(*) filter (clase = 'posterior') posterior from (select r.*, h.clase from r left join h using (fila_id, campo) where r.clave is not null) group by campo, periodo""",

@@ -19,17 +19,19 @@ def one(spark, value, expr, kind="string"):
 @pytest.mark.parametrize(
     "value, expr, want",
     [
-        ("EC-RUC-1791240502001-14583", scalars.tax_id, "1791240502001"), ("1791240502001", scalars.tax_id, "1791240502001"), ("", scalars.tax_id, None), ("abc", scalars.tax_id, None),
+        ("EC-RUC-1791240502001-14583", scalars.tax_id, "1791240502001"), ("1791240502001", scalars.tax_id, "1791240502001"), ("", scalars.tax_id, None), ("abc", scalars.tax_id, None), ("1791240502001-14583", scalars.tax_id, None), ("ec-ruc-1791240502001", scalars.tax_id, "1791240502001"), ("EC-RUC-1791240502001-", scalars.tax_id, None), ("EC-RUC-1791240502001-1-2", scalars.tax_id, None), (" 0102030405 ", scalars.tax_id, "0102030405"), ("EC-RUC-17912405020011", scalars.tax_id, None),
         ("1e3", scalars.number, 1000.0), ("12d", scalars.number, None), ("", scalars.number, None), (None, scalars.number, None),
         ("40,00%", scalars.percent, 0.4), ("20,18%", scalars.percent, 0.2018), ("", scalars.percent, None),
         ("3526000506", scalars.code_prefix, "35260"), ("AB", scalars.code_prefix, None), ("7", scalars.code_prefix, None),
         ("1791240502001", scalars.masked, ".........2001"), ("170", scalars.masked, "170"), ("1791240502001", scalars.province, "PICHINCHA"), ("9991240502001", scalars.province, None),
-        ('["planning", "award"]', lambda c: scalars.tag_state(c, ["contract", "award", "tender"]), "award"), ("planning, tender", lambda c: scalars.tag_state(c, ["award", "tender"]), "tender"), (None, lambda c: scalars.tag_state(c, ["award"]), "desconocido"),
+        ('["planning", "award"]', scalars.tag_state, "adjudicado"), ("planning, tender", scalars.tag_state, "abierto"), (None, scalars.tag_state, "desconocido"), ('["tender","award","contract"]', scalars.tag_state, "cerrado"), ("[]", scalars.tag_state, "desconocido"),
+        ("1104567890001", scalars.is_natural, True), ("1791240502001", scalars.is_natural, False), ("1660003510001", scalars.is_public, True), ("x", scalars.is_natural, False), (None, scalars.is_public, False),
+        ("ocds-x-SIE-ABC-2024-17", lambda c: scalars.process_code(c, "ocds-x"), "SIE-ABC-2024"), ("SIE-ABC-2024", scalars.looks_like_code, True), ("compra de papel", scalars.looks_like_code, False),
         ("Subasta en el convenio X", lambda c: scalars.before(c, " en el convenio"), "Subasta"),
         ("Equipos Médicos de la", text.name_key, "equipo medico"), ("Equipo médico", text.name_key, "equipo medico"),
-        ("garantÃ­a tÃ©cnica", text.repair_encoding, "garantía técnica"), ("sin daño", text.repair_encoding, "sin daño"), (None, text.repair_encoding, None),
+        ("garantÃ­a tÃ©cnica", text.repair_encoding, "garantía técnica"), ("sin daño", text.repair_encoding, "sin daño"), (None, text.repair_encoding, None), ("Ã", text.repair_encoding, "Ã"), ("Ã¡Ã³ÂÂ¡ y Â¿quÃ©? ÃÃ±o", text.repair_encoding, "áóÂ¡ y ¿qué? Ãño"), ("Ã©\x80 fin\nÃ©", text.repair_encoding, "Ã©\x80 fin\né"),
         ("corto", text.comparable, ""), ("Compra AB-CDEF-123  de  Papel", text.comparable, "compra de papel"),
-        ("Equipo médico", text.is_short_name, True), ("equipo", text.is_short_name, False),
+        ("Orden de compra para adquirir los siguientes productos: Papel bond", text.comparable, "papel bond"), ("Es mejor otro", text.is_short_name, False), ("OTRAS PRENDAS DE PAPEL, n.c.p.", text.fallback_name, "Prendas de papel"), ("varios", text.fallback_name, "varios"), ("Equipo médico", text.is_short_name, True), ("equipo", text.is_short_name, False),
     ],
 )
 def test_scalars(spark, value, expr, want):
@@ -39,7 +41,7 @@ def test_scalars(spark, value, expr, want):
 def test_bands_and_amounts(spark):
     band = lambda c: scalars.banded(c, [(10.0, "a"), (20.0, "b")], "c")
     assert [one(spark, x, band, "double") for x in (-1.0, 10.0, 25.0, None)] == ["a", "b", "c", None]
-    assert [one(spark, x, scalars.short_amount, "double") for x in (1234567.0, 5400.0, 12.0)] == ["1,2 M", "5,4 K", "12"]
+    assert [one(spark, x, scalars.short_amount, "double") for x in (1234567.0, 1234567890.0, 5400.0, 12.0, None)] == ["$1.2 M", "$1.234.6 M", "$5 K", "$12", "no declarado"]
 
 
 def test_keyed_selection(spark):
@@ -79,10 +81,120 @@ def test_never_met_equals_pairs(spark):
     assert got == want
 
 
-def test_rank_quantiles(spark):
-    d = spark.range(10).selectExpr("id % 1 g", "cast(id + 1 as double) v")
-    r = d.groupBy("g").agg(*rel.rank_quantile(["g"], "v", {"p10": 0.1, "p25": 0.25, "p90": 0.9, "top": 1.0})).first()
-    assert (r["p10"], r["p25"], r["p90"], r["top"]) == (2.0, 3.0, 10.0, 10.0)
+def test_quantiles_equal_sorting(spark):
+    """By position and interpolated, with ties, signs, infinities and null keys, on many slices."""
+    import math
+    import random
+    import statistics
+
+    rnd = random.Random(9)
+    rows = [("hot", rnd.choice([rnd.gauss(0, 1e3), 7.0, 0.0, -0.0, 1e-300, 1e300])) for _ in range(3000)]
+    rows += [(None, float(i)) for i in range(10)] + [("one", 1.5), ("inf", math.inf), ("inf", -math.inf), ("inf", 3.0), ("none", None), ("nan", math.nan)]
+    d = spark.createDataFrame(rows, "g string, v double")
+    q = rel.quantiles(rel.value_counts(d, ["g"], "v"), ["g"], index={"p10": "least(cast(floor(n * 0.1D) as bigint), n - 1)", "p25": "n div 4", "top": "n - 1"}, between={"q3": 0.75, "mediana": 0.5})
+    got = {r["g"]: r for r in q.collect()}
+    groups = {}
+    for g, v in rows:
+        if v is not None and v == v:
+            groups.setdefault(g, []).append(v)
+    assert set(got) == set(groups)
+    for g, v in groups.items():
+        v.sort()
+        n = len(v)
+        assert (got[g]["n"], got[g]["p10"], got[g]["p25"], got[g]["top"]) == (n, v[min(int(n * 0.1), n - 1)], v[n // 4], v[-1])
+        assert got[g]["mediana"] == pytest.approx(statistics.median(v))
+        if g != "inf":
+            at = 0.75 * (n - 1)
+            assert got[g]["q3"] == pytest.approx(v[int(at)] + (v[math.ceil(at)] - v[int(at)]) * (at - int(at)))
+    assert rel.quantiles(rel.value_counts(d.limit(0), ["g"], "v"), ["g"], between={"m": 0.5}).count() == 0
+
+
+def test_ranks_from_running_counts(spark):
+    rows = [("a", 3.0), ("a", 3.0), ("a", 1.0), ("a", 9.0), (None, 2.0), ("b", None)]
+    d = spark.createDataFrame(rows, "g string, v double")
+    assert sorted((r["g"] or "", r["v"], r["puesto"], r["de"]) for r in rel.rank_desc(d, ["g"], "v").collect()) == [("", 2.0, 1, 1), ("a", 1.0, 4, 4), ("a", 3.0, 2, 4), ("a", 9.0, 1, 4)]
+
+
+def test_nodes_of_codes(spark):
+    tree = spark.createDataFrame([("12345",), ("1239",), ("123",), (None,)], "codigo string")
+    d = spark.createDataFrame([(c,) for c in ["1234599", "12345", "12399", "1239", "123", "99999", "", None]], "c string")
+    assert [r["nodo"] for r in rel.in_tree(d, tree, "c").collect()] == ["12345", "12345", "1239", "1239", None, None, None, None]
+
+
+def test_origin_of_lines(spark):
+    from tamizal.plans import market
+
+    rows = [("a", 2024, "tender", 5.0), ("a", 2024, "award", 9.0), ("a", 2024, "award", 0.0), ("a", 2025, "tender", 5.0), ("b", 2024, "tender", 5.0), ("b", 2024, "award", None), ("b", 2024, "other", 1.0), ("c", 2024, None, 1.0)]
+    d = spark.createDataFrame(rows, "ocid string, anio int, origen string, monto_linea double")
+    plain = sorted((r["ocid"], r["origen"] or "", r["monto_linea"] or 0) for r in market.single_origin(d).collect())
+    assert plain == [("a", "award", 0.0), ("a", "award", 9.0), ("b", "other", 1.0), ("b", "tender", 5.0), ("c", "", 1.0)]
+    year = sorted((r["ocid"], r["anio"], r["origen"], r["monto_linea"]) for r in market.single_origin(d, annual=True).collect())
+    assert year == [("a", 2024, "award", 9.0), ("a", 2025, "tender", 5.0), ("b", 2024, "tender", 5.0)]
+
+
+def test_dominant_codes(spark):
+    from tamizal.plans import market
+
+    one = [("p", "tender", "CLIPS", 0.5)] * 100 + [("p", "tender", "PC", 900.0)]
+    rows = one + [("q", "tender", "A", 900.0), ("q", "award", "B", 1.0), ("r", "award", "C", None), ("s", "award", None, 9.0), ("s", "tender", "D", 2.0)]
+    d = spark.createDataFrame(rows, "ocid string, origen string, cpc string, precio_unitario double")
+    assert {r["ocid"]: r["cpc"] for r in market.code_by_amount(d).collect()} == {"p": "PC", "q": "B", "r": "C", "s": "D"}
+    lines = spark.createDataFrame([("p", "A", 3.0), ("p", "A", 3.0), ("p", "B", 5.0), ("q", "Z", None), ("q", "Y", None)], "ocid string, cpc string, monto_linea double")
+    assert {r["ocid"]: r["cpc"] for r in market.largest_line_code(lines).collect()} == {"p": "B", "q": "Y"}
+
+
+def test_names_do_not_collide(spark):
+    from tamizal.plans import market
+
+    names = spark.createDataFrame([("1", 5, "Equipo médico"), ("2", 9, "Equipos Médicos"), ("3", 1, "Papel"), ("4", 8, "Papeles")], "grupo string, total bigint, nombre string")
+    assert {r["grupo"]: r["nombre"] for r in market.distinct_names(names).collect()} == {"2": "Equipos Médicos", "1": "Equipo médico (1)", "3": "Papel (3)", "4": "Papeles"}
+    kept = spark.createDataFrame([("3", "Papel"), ("9", "Equipo médico")], "grupo string, nombre string")
+    assert {r["grupo"]: r["nombre"] for r in market.distinct_names(names, kept).collect()} == {"9": "Equipo médico", "2": "Equipos Médicos (2)", "1": "Equipo médico (1)", "3": "Papel", "4": "Papeles (4)"}
+
+
+def test_release_tables(spark):
+    """The seven tables of one full release, and of odd ones."""
+    from tamizal.operators import releases as ops
+
+    full = {
+        "ocid": "o", "date": "2024-03-12T09:00:00-05:00", "tag": ["tender", "award"], "buyer": {"id": "EC-RUC-1760001550001-9"}, "planning": {"budget": {"id": "p", "amount": {"amount": 7}}, "rationale": "why"},
+        "tender": {
+            "title": "T", "description": "D", "value": {"amount": 0}, "procurementMethodDetails": "Subasta en el convenio X", "numberOfTenderers": "2", "items": [{"id": 1, "quantity": "3", "unit": {"name": "u", "value": {"amount": 2.5, "currency": "USD"}}, "classification": {"id": "12345"}}, None, "x"],
+            "tenderers": [{"id": "EC-RUC-1791240502001-14583", "name": "A"}, {"id": "EC-RUC-0990004196001-1", "name": "B"}, {"id": None}], "enquiries": {"id": 4, "date": "2024-03-12T09:00:00-05:00", "description": "", "answer": "x" * 3000, "author": {"id": "1791240502001", "name": "A"}},
+            "lots": [{"id": "L", "value": {"amount": "9"}, "techniques": {"b": 1, "a": 2}}, {"id": "M", "techniques": ["x"]}],
+        },
+        "awards": [{"items": [{"id": "z"}], "suppliers": [{"id": "EC-RUC-1791240502001"}]}], "parties": [{"id": "1791240502001", "name": "A", "roles": ["buyer", "payer"], "address": {"region": "R", "locality": "C"}, "contactPoint": {"url": "w"}}, {"id": "nobody"}],
+        "auctions": [{"stages": [{"bids": [{"id": "b", "date": "2024-03-12T09:00:00-05:00", "value": {"amount": 5}, "tenderers": [{"id": "1791240502001"}]}, {"id": "c"}]}, None]}],
+    }
+    odd = [None, "", "{", "7", '{"ocid": ""}', '{"ocid": "x", "tender": [], "awards": 3, "auctions": "?"}', json.dumps({"releases": [{"ocid": "y", "tender": {"lots": json.dumps([{"id": 1}])}}]})]
+    d = spark.createDataFrame([(i, t, "clash") for i, t in enumerate([json.dumps(full), *odd])], "r int, t string, ocid string")
+    rows = ops.release_rows(d, row="r", text="t").cache()
+    assert [r["ocid"] for r in rows.orderBy("reg_id").collect()] == ["o", "x", "y"]
+    first = lambda df: [tuple(r)[3:] for r in df.collect() if r["ocid"] == "o"]
+    assert first(ops.processes(rows)) == [("adjudicado", "Subasta", "T", "D", 7.0, 2, None, None, "p", "why", "1760001550001", "2024-03-12")]
+    assert first(ops.items(rows)) == [("tender", "1", "12345", None, 3.0, "u", 2.5, "USD"), ("award", "z", None, None, None, None, None, None)]
+    assert first(ops.bidders(rows)) == [("1791240502001", "A", True), ("0990004196001", "B", False), (None, None, False)]
+    assert first(ops.bids(rows)) == [("b", "1791240502001", "2024-03-12T09:00:00", 5.0), ("c", None, None, None)]
+    assert first(ops.parties(rows)) == [("1791240502001", "A", "buyer,payer", "R", "C", "w")]
+    assert first(ops.enquiries(rows)) == [("4", "2024-03-12T09:00:00", "1791240502001", "A", None, "x" * 2000, None)]
+    assert first(ops.lots(rows)) == [("L", None, 9.0, "a,b"), ("M", None, None, None)]
+    assert [r["lote_id"] for r in ops.lots(rows).collect() if r["ocid"] == "y"] == ["1"]
+    rows.unpersist()
+
+
+def test_summary_rows(spark):
+    """First release, last tender, first valid budget, reason and supplier, added awards; dates that
+    cannot be read drop the row."""
+    from tamizal.operators import releases as ops
+
+    t = lambda rows, kind: spark.createDataFrame(rows, kind)
+    releases = t([("a", 1, "2025-04-10T00:00", '["planning"]', "1791240502001"), ("a", 2, "2020-01-01", "x", None), ("b", 3, "soon", "x", None), ("c", 4, "2026-05-20", "contract", "EC-RUC-1")], "ocid string, orden int, fecha string, tag string, buyer_id string")
+    tender = t([("a", 1, "Old", "1", "x", "x", "9"), ("a", 2, "Menor en el convenio Y", "0", "title", None, " ")], "ocid string, orden int, procurementMethodDetails string, value_amount string, title string, description string, numberOfTenderers string")
+    planning = t([("a", 1, "bad", " "), ("a", 2, "5.5", "why"), ("a", 3, "9", "no")], "ocid string, orden int, budget_amount string, rationale string")
+    awards = t([("a", "1.25"), ("a", "x"), ("a", "2")], "ocid string, amount string")
+    suppliers = t([("a", 1, "nobody"), ("a", 2, "EC-RUC-0990004196001-7"), ("a", 3, "1791240502001")], "ocid string, orden int, id string")
+    got = {r["ocid"]: tuple(str(x) if x is not None else None for x in r[1:]) for r in ops.summary_rows(releases, tender, planning, awards, suppliers, ["ocid"]).collect()}
+    assert got == {"a": ("2025-04-10", "planificacion", "Menor", "1791240502001", "0990004196001", "5.5", "3.25", "why", None), "c": ("2026-05-20", "cerrado", None, None, None, None, None, None, None)}
 
 
 def test_nearest_and_merge(spark, monkeypatch):
