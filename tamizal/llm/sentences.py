@@ -15,6 +15,7 @@ and decomposed letters and markup are ordinary text.
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections import Counter
@@ -36,6 +37,10 @@ STRONG_RATIO = 7.88
 LONGEST_TYPE = 40
 UNJUDGED = " "
 
+#: A type that is learned makes up at least this share of all words (full stops, sure starts) of the
+#: corpus, and occurs MIN_COUNT times: so the model has at most 1 / RARE entries a class.
+RARE = 5e-7
+
 OPENERS = "¿¡«“„‘‚\"'([{「『《〈（【"
 CLOSERS = "»”’\"')]}」』》〉）】“"
 PAIRS = {"«": "»", "“": "”", "„": "“”", "「": "」", "『": "』", "《": "》", "(": ")", "（": "）", "‚": "‘’"}
@@ -46,16 +51,22 @@ TERMINATOR = re.compile(r"[.!?…。！？｡．؟।॥։۔‼⁇⁈⁉]+")
 THAI_GAP = re.compile(r"(?<=[\u0e00-\u0e7f])\s+(?=[\u0e00-\u0e7f])")
 BLANK_LINE = re.compile(r"(?:\r\n|\r(?!\n)|\n|\u2028)(?:[^\S\n\r]*(?:\r\n|\r(?!\n)|\n))+|\u2029")
 LINE = re.compile(r"[^\n\r]+")
-MARK = re.compile(r"\s*(?:[-•*·▪◦●‣–—]|\(?(?:\d{1,3}|[A-Za-z]|[ivxlcIVXLC]{1,6})[.)])\s+(?=\S)")
+MARK = re.compile(r"\s*(?:[-•*·▪◦●‣–—]|\(?(?:\d+|[A-Za-z]|[ivxlcIVXLC]+)[.)])\s+(?=\S)")
 FIRST_MARK = re.compile(r"\s*(?:[-•*·▪◦●‣–]|\(?(?:1|[aAiI])[.)])\s+(?=\S)")
-HEAD_MARK = re.compile(r"\s*(?:\d{1,3}|[A-Za-z]|[ivxlcIVXLC]{1,6})(?:\.\d{1,3})*\.")
-WORD = re.compile(r"[^\W\d_]+(?:[\u0300-\u036f][^\W\d_]*)*")
+HEAD_MARK = re.compile(r"\s*(?:\d+|[A-Za-z]|[ivxlcIVXLC]+)(?:\.\d+)*\.")
+_WORD = r"[^\W\d_]+(?:[\u0300-\u036f][^\W\d_]*)*"
+_OPEN = f"[{re.escape(OPENERS)}]*"
+WORD = re.compile(_WORD)
+#: What follows a full stop: a gap (or none), opening marks with a word or one other character.
+NEXT = re.compile(rf"\s*({_OPEN}(?:{_WORD}|\S)?)")
+DOTTED = re.compile(r"[^\W\d_]+\.[^\W\d_]")
+TAIL = re.compile(r"[^\W\d_]+$|\d$|[)»”\"%]$")
+STRONG = re.compile(r"[!?…]")
 WHOLE_WORD = re.compile(r"(?<![\w.])[^\W\d_][^\W\d_\u0300-\u036f]*(?!\w)")
-WEB = re.compile(r"(?<!\S)\S*?(?:www\.|://|@)\S*", re.I)
+WEB = re.compile(r"www\.|://|@", re.I)
 #: Letters of scripts without blanks: a run of them is not part of an address.
 UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3000-\u30ff\u3400-\u9fff\uf900-\ufaff\uff00-\uffef"
 ADDRESS = re.compile(rf"(?<![^\s{UNSPACED}])[^\s{UNSPACED}]*?(?:www\.|://|@)[^\s{UNSPACED}]*", re.I)
-STOPPED = re.compile(r"(?<!\S)(\S+)\.(?=\s+(\S+))")
 #: The first word of a block, or one after a question or exclamation mark: certainly a start.
 SURE_START = re.compile(r"(?:\A|\n\s*\n|[!?]\s)\s*[¿¡«\"„“]?([^\W\d_]+)")
 CAPITALS = re.compile("[A-ZÀ-ÖØ-ÞΑ-ΩЀ-Я]")
@@ -102,28 +113,39 @@ def _count(batches: Iterator) -> Iterator:
 
     for batch in batches:
         seen: Counter = Counter()
-        words: dict[tuple[str, bool], Counter] = {}
+        tokens: dict[tuple[str, bool], Counter] = {}
+        stops: dict[tuple[str, bool], Counter] = {}
+        starts: dict[str, Counter] = {}
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             if not text:
                 continue
             loud = shouted(text)
-            web = "www." in text or "://" in text or "@" in text or "WWW." in text
-            words.setdefault((lang, loud), Counter()).update(WHOLE_WORD.findall(WEB.sub(" ", text) if web else text))
-            for m in STOPPED.finditer(text):
-                a, (b, kind) = type_of(m[1]), next_of(m[2])
-                if not a or len(a) > LONGEST_TYPE:
-                    seen[lang, "p", UNJUDGED, "", "oth"] += 1
-                    continue
-                seen[lang, "p", a, b, "loud" if loud and kind == "cap" else kind] += 1
+            found = text.split()
+            tokens.setdefault((lang, loud), Counter()).update(found)
+            stops.setdefault((lang, loud), Counter()).update(x for x in zip(found, found[1:]) if x[0][-1] == ".")
             if not loud:
-                for m in SURE_START.finditer(text):
-                    seen[lang, "s", fold(m[1]), "", ""] += 1
-        for (lang, loud), each in words.items():
+                starts.setdefault(lang, Counter()).update(SURE_START.findall(text))
+        for (lang, loud), each in stops.items():
+            for (before, after), n in each.items():
+                if before == ".":
+                    continue
+                a, (b, kind) = type_of(before[:-1]), next_of(after)
+                if not a or len(a) > LONGEST_TYPE:
+                    seen[lang, "p", UNJUDGED, "", "oth"] += n
+                else:
+                    seen[lang, "p", a, b, "loud" if loud and kind == "cap" else kind] += n
+        for lang, each in starts.items():
             for w, n in each.items():
-                f = fold(w)
-                seen[lang, "w", f, "", ""] += n
-                if w[0].islower() and not loud:
-                    seen[lang, "l", f, "", ""] += n
+                seen[lang, "s", fold(w), "", ""] += n
+        for (lang, loud), each in tokens.items():
+            for token, n in each.items():
+                if WEB.search(token):
+                    continue
+                for w in (token,) if token.isalpha() and token.isascii() else WHOLE_WORD.findall(token):
+                    f = fold(w)
+                    seen[lang, "w", f, "", ""] += n
+                    if w[0].islower() and not loud:
+                        seen[lang, "l", f, "", ""] += n
         rows = [(*k, n) for k, n in seen.items()]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)] if rows else [pa.array([], pa.string())] * 5 + [pa.array([], pa.int64())], names=["lang", "k", "a", "b", "c", "n"])
 
@@ -148,16 +170,18 @@ def learn(df: DataFrame, *, text: str = "text", lang: str = "lang") -> DataFrame
     d = spread(df.select(language(F.col(lang)).alias("lang"), F.col(text).cast("string").alias("t")))
     counts = d.mapInArrow(_count, "lang string, k string, a string, b string, c string, n long")
     counts = counts.groupBy("lang", "k", "a", "b", "c").agg(F.sum("n").alias("n")).checkpoint()
+    mass = {r["k"]: r["n"] for r in counts.groupBy("k").agg(F.sum("n").alias("n")).collect()}  # a row per kind
+    least = {k: max(MIN_COUNT, math.ceil(RARE * mass.get(k, 0))) for k in "wps"}
     words = counts.where("k = 'w'").select("lang", F.col("a").alias("w"), F.col("n").alias("nw"))
     lower = counts.where("k = 'l'").select("lang", F.col("a").alias("w"), F.col("n").alias("nl"))
     total = words.groupBy("lang").agg(F.sum("nw").alias("tot"))
-    common = words.join(lower, ["lang", "w"]).where("nl >= 3 and nl >= 0.1 * nw").checkpoint()
+    common = words.join(lower, ["lang", "w"]).where(f"nl >= {least['w']} and nl >= 0.1 * nw").checkpoint()
     pairs = counts.where("k = 'p'").select("lang", "a", "b", "c", "n")
     sure = counts.where("k = 's'").select("lang", F.col("a").alias("w"), F.col("n").alias("ns"))
     total_s = sure.groupBy("lang").agg(F.sum("ns").alias("fines"))
     s = sure.join(words, ["lang", "w"]).join(F.broadcast(total), "lang").join(F.broadcast(total_s), "lang")  # a row per language
     s_llr = _ratio(F.col("ns").cast("double"), F.col("fines").cast("double"), F.greatest("nw", "ns").cast("double"), F.col("tot").cast("double"))
-    starts = s.where((F.col("ns") >= MIN_COUNT) & (s_llr > STRONG_RATIO) & (F.col("ns") / F.col("fines") > F.col("nw") / F.col("tot"))).select("w").distinct().checkpoint()
+    starts = s.where((F.col("ns") >= least["s"]) & (s_llr > STRONG_RATIO) & (F.col("ns") / F.col("fines") > F.col("nw") / F.col("tot"))).select("w").distinct().checkpoint()
     starter = starts.select(F.lit("inicio").alias("clase"), F.col("w").alias("a"), F.lit("").alias("b"))
     # what follows each type: lower case, figures, names, and words that start sentences
     ordinary_words = common.select("w").union(starts).distinct().select(F.col("w").alias("b"), F.lit(1).alias("es_comun"))
@@ -184,18 +208,18 @@ def learn(df: DataFrame, *, text: str = "text", lang: str = "lang") -> DataFrame
     # a type that goes on in lower case nearly as often as it ends is an abbreviation; so is one whose
     # score passes and that is mostly followed by names or figures; without case the score must do
     by_score = (score >= ABBREVIATION_SCORE) & F.when(settled == 0, size <= 2).otherwise(goes_on >= 0.5 * settled)
-    by_case = (F.col("n_low") >= 0.2 * settled) & (F.col("n_low") >= MIN_COUNT) & (F.col("np") >= 0.5 * seen)
-    each = t.withColumn("abrev", lettered & expected & (F.col("np") >= MIN_COUNT) & (by_score | by_case)).withColumn("lettered", lettered)
+    by_case = (F.col("n_low") >= 0.2 * settled) & (F.col("n_low") >= least["p"]) & (F.col("np") >= 0.5 * seen)
+    each = t.withColumn("abrev", lettered & expected & (F.col("np") >= least["p"]) & (by_score | by_case)).withColumn("lettered", lettered)
     # a few mislabelled documents must not decide: the languages together have to agree
     pooled = each.groupBy("a").agg(F.max("abrev").alias("alguna"), F.max("lettered").alias("lettered"), *[F.sum(x).alias(x) for x in ("np", "n_low", "n_num", "n_name", "n_word")])
     agree = (goes_on >= 0.35 * settled) | ((F.col("n_low") >= 0.12 * settled) & F.col("a").contains("."))
     judged = pooled.withColumn("abrev", F.col("alguna") & agree).checkpoint()  # small, and read six times below
     abbrev = judged.where("abrev").select(F.lit("abrev").alias("clase"), "a", F.lit("").alias("b"))
-    figures = judged.where(F.col("lettered") & (F.col("n_num") >= MIN_COUNT) & (F.col("n_num") >= 0.7 * F.greatest(settled, F.lit(1)))).select(F.lit("cifra").alias("clase"), "a", F.lit("").alias("b"))
+    figures = judged.where(F.col("lettered") & (F.col("n_num") >= least["p"]) & (F.col("n_num") >= 0.7 * F.greatest(settled, F.lit(1)))).select(F.lit("cifra").alias("clase"), "a", F.lit("").alias("b"))
     # abbreviations that also stand at the end of sentences
     enders = judged.where(F.col("abrev") & (F.col("n_word") >= 0.15 * settled) & (F.col("n_word") > F.col("n_name"))).select(F.lit("final").alias("clase"), "a", F.lit("").alias("b"))
     plain = pairs.join(judged.where("abrev").select("a"), "a", "left_anti").where(~F.col("a").isin("##") & (F.length("a") > 1) & ~F.col("a").contains("."))
-    small = plain.where("c = 'low'").groupBy("lang", F.col("b").alias("w")).agg(F.sum("n").alias("ns"), F.countDistinct("a").alias("de")).where((F.col("ns") >= MIN_COUNT) & (F.col("de") >= 3)).select(F.lit("menor").alias("clase"), F.col("w").alias("a"), F.lit("").alias("b"))
+    small = plain.where("c = 'low'").groupBy("lang", F.col("b").alias("w")).agg(F.sum("n").alias("ns"), F.countDistinct("a").alias("de")).where((F.col("ns") >= least["p"]) & (F.col("de") >= 3)).select(F.lit("menor").alias("clase"), F.col("w").alias("a"), F.lit("").alias("b"))
     ordinary = common.select(F.lit("comun").alias("clase"), F.col("w").alias("a"), F.lit("").alias("b"))
     # collocations: the second word hardly occurs but after the first one's full stop
     pw = pairs.where("c = 'cap' and b <> ''").groupBy("lang", "a", "b").agg(F.sum("n").alias("n"))
@@ -205,11 +229,11 @@ def learn(df: DataFrame, *, text: str = "text", lang: str = "lang") -> DataFrame
     titled = (F.col("n") >= 0.5 * F.col("np")) & (F.col("ini").isNull() | (F.col("n") >= 0.8 * F.col("np")))
     c = c.join(judged.where("abrev").select("a", F.lit(1).alias("abr")), "a", "left").join(starts.select(F.col("w").alias("b"), F.lit(1).alias("ini")), "b", "left")
     # a type outside the abbreviations must be followed by that one word nearly always, and often
-    fixed = (F.col("a") != "##") & (F.col("a") != "#") & (F.col("n") >= 0.9 * F.col("np")) & (F.col("n") >= 4 * MIN_COUNT)
+    fixed = (F.col("a") != "##") & (F.col("a") != "#") & (F.col("n") >= 0.9 * F.col("np")) & (F.col("n") >= 4 * least["p"])
     titled = (titled & F.col("abr").isNotNull()) | fixed
-    coloc = c.where((F.col("n") >= MIN_COUNT) & (c_llr > STRONG_RATIO) & (ordinal | titled)).select(F.lit("coloc").alias("clase"), "a", "b")
+    coloc = c.where((F.col("n") >= least["p"]) & (c_llr > STRONG_RATIO) & (ordinal | titled)).select(F.lit("coloc").alias("clase"), "a", "b")
     cases = pairs.where("b <> ''").groupBy("a", "b").agg(kind(F.col("c") == "low").alias("lo"), kind(F.col("c") == "cap").alias("up"))
-    follows = cases.where("lo > up and lo >= 2").join(judged.where("abrev").select("a").distinct(), "a", "left_semi").select(F.lit("sigue").alias("clase"), "a", "b")
+    follows = cases.where(f"lo > up and lo >= {max(2, math.ceil(RARE * mass.get('p', 0)))}").join(judged.where("abrev").select("a").distinct(), "a", "left_semi").select(F.lit("sigue").alias("clase"), "a", "b")
     out = abbrev
     for part in (figures, enders, starter, small, ordinary, coloc, follows):
         out = out.unionByName(part)
@@ -225,6 +249,13 @@ class Model:
             sets[clase].add((a, b) if clase in ("coloc", "sigue") else a)
         self.abbreviations, self.figures, self.enders, self.starters = sets["abrev"], sets["cifra"], sets["final"], sets["inicio"]
         self.small, self.common, self.pairs, self.follows = sets["menor"], sets["comun"], sets["coloc"], sets["sigue"]
+        self.known: dict = {}  # decisions on plain full stops by what surrounds them
+
+    def remember(self, key: tuple, value: bool) -> bool:
+        if len(self.known) >= 100_000:
+            self.known.clear()
+        self.known[key] = value
+        return value
 
 
 def _protected(t: str) -> list[tuple[int, int]]:
@@ -267,51 +298,65 @@ def _addresses(t: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def _full_stop(t: str, i: int, k: int, n: int, model: Model, quoted: bool, loud: bool, head: int, address: bool) -> bool:
-    """Whether the full stop at i (closing marks up to k, next text at n) ends a sentence; address
-    tells that it belongs to a web or mail address."""
-    start = i
-    while start > 0 and i - start < 80 and not t[start - 1].isspace():
-        start -= 1
-    token = t[start:i]
-    a = type_of(token)
-    a = re.split("[!?…]", a)[-1]
-    if "." in a and len(a.split(".", 1)[0]) > 2 and a.rsplit(".", 1)[1][:1].isalpha() and n > k:
-        a = a.rsplit(".", 1)[1]  # what follows a full stop without a blank
-    end = n
-    while end < len(t) and end - n < 60 and not t[end].isspace():
-        end += 1
-    after = t[n:end]
-    b, kind = next_of(after)
+def _before(t: str, i: int) -> tuple[int, str, str]:
+    """(start of the token, token, type) before the full stop at i.
+
+    Of a longer token than can be judged only what follows its last full stop, or else its tail, is
+    read: its type is the common one of all such tokens.
+    """
+    at = max(t.rfind(" ", 0, i), t.rfind("\n", 0, i)) + 1
+    if i - at <= 2 * LONGEST_TYPE:
+        piece = t[at:i]
+        parts = piece.split()
+        token = parts[-1] if parts and not piece[-1].isspace() else ""
+        a = type_of(token)
+        if STRONG.search(a):
+            a = STRONG.split(a)[-1]
+        return i - len(token), token, a if len(a) <= LONGEST_TYPE else UNJUDGED
+    size = 64
+    while True:
+        piece = t[max(at, i - size) : i]
+        m = TAIL.search(piece)
+        if m is None or m.start() > 0 or len(piece) == i - at:
+            break
+        size *= 2  # a longer run of letters
+    tail = re.split(r"[\s!?…]", piece)[-1]
+    return i - len(tail), tail, type_of(tail) if len(tail) < len(piece) and len(tail) <= LONGEST_TYPE else UNJUDGED
+
+
+def _tight_stop(t: str, i: int, n: int, token: str, a: str, model: Model, web: bool) -> bool:
+    """Whether the full stop at i ends a sentence although nothing stands between it and the text at n."""
     c = t[n]
-    whole = t[start : end if n == k else i + 1].lower()
-    web = address or "www." in whole or "://" in whole or "@" in whole
-    if c in ",;:)]}»”%·" or c in "—–-" and n > k:
+    if web and c not in OPENERS:
+        return False
+    after = NEXT.match(t, n)[1]
+    b, kind = next_of(after)
+    m, last = WORD.match(after.lstrip(OPENERS)), TAIL.search(token)
+    if not m or not last:
         return False
     bare = a.rstrip(".")
+    if c not in "¿¡«" and len(m[0]) < 2:
+        return c.isupper() and t[n + 1 : n + 2].isspace() and len(last[0]) > 1 and last[0].islower() and a not in model.abbreviations
+    if len(last[0]) < 2 and last[0].isalpha():
+        return "." in bare and kind == "cap" and len(m[0]) > 1 and m[0][1:2].islower() and b in model.starters
+    if kind == "low" or kind == "num":
+        return False
+    if kind == "oth":
+        return last[0].isalpha() and len(last[0]) > 1
+    if a in model.abbreviations and b not in model.starters:
+        return False
+    return not DOTTED.match(t, n) or len(m[0]) > 1
+
+
+def _gap_stop(token: str, a: str, after: str, second: str, model: Model, loud: bool, web: bool) -> bool:
+    """Whether a full stop after a token of type a ends a sentence, when a gap and `after` (opening
+    marks with a word, or one character; second: its second character) follow."""
+    if "." in a and len(a.split(".", 1)[0]) > 2 and a.rsplit(".", 1)[1][:1].isalpha():
+        a = a.rsplit(".", 1)[1]  # what follows a full stop without a blank
+    b, kind = next_of(after)
+    c = after[0]
+    bare = a.rstrip(".")
     letters = [x for x in bare if x.isalpha()]
-    if n == k:  # nothing between the full stop and what follows
-        if web and c not in OPENERS:
-            return False
-        m = WORD.match(after.lstrip(OPENERS))
-        last = re.search(r"[^\W\d_]+$|\d$|[)»”\"%]$", token)
-        if not m or not last:
-            return False
-        if c not in "¿¡«" and len(m[0]) < 2:
-            return c.isupper() and t[n + 1 : n + 2].isspace() and len(last[0]) > 1 and last[0].islower() and a not in model.abbreviations
-        if len(last[0]) < 2 and last[0].isalpha():
-            return "." in bare and kind == "cap" and len(m[0]) > 1 and m[0][1:2].islower() and b in model.starters
-        if kind == "low" or kind == "num":
-            return False
-        if kind == "oth":
-            return last[0].isalpha() and len(last[0]) > 1
-        if a in model.abbreviations and b not in model.starters:
-            return False
-        return not re.match(r"[^\W\d_]+\.[^\W\d_]", after) or len(m[0]) > 1
-    if quoted:
-        return kind != "low" or b in model.small
-    if start <= head and HEAD_MARK.fullmatch(t[head : i + 1]):
-        return False  # the mark of a heading or item
     if "\u0900" <= token[-1:] <= "\u097f":
         return False  # Devanagari ends sentences with a danda
     if (a, b) in model.pairs and not (loud and b in model.starters):
@@ -330,7 +375,7 @@ def _full_stop(t: str, i: int, k: int, n: int, model: Model, quoted: bool, loud:
         return True
     if a in model.enders and c.isalpha() and token[-1:].isalpha() and ("\u024f" < c) != ("\u024f" < token[-1]):
         return True  # what follows is in another script
-    if kind == "low" or c in "([" or (len(b) == 1 and t[n + 1 : n + 2] == "." and c.isupper()):
+    if kind == "low" or c in "([" or (len(b) == 1 and second == "." and c.isupper()):
         return False
     if c in "¿¡":
         return True
@@ -345,6 +390,27 @@ def _full_stop(t: str, i: int, k: int, n: int, model: Model, quoted: bool, loud:
     return b in model.starters or b in model.common
 
 
+def _full_stop(t: str, i: int, k: int, model: Model, quoted: bool, loud: bool, head: int, address: bool) -> bool:
+    """Whether the full stop at i (closing marks up to k) ends a sentence; address tells that it
+    belongs to a web or mail address."""
+    m = NEXT.match(t, k)
+    n, after = m.start(1), m[1]
+    c = after[0]
+    if c in ",;:)]}»”%·" or c in "—–-" and n > k:
+        return False
+    start, token, a = _before(t, i)
+    if n == k:
+        return _tight_stop(t, i, n, token, a, model, address)
+    if quoted:
+        b, kind = next_of(after)
+        return kind != "low" or b in model.small
+    if start <= head and HEAD_MARK.fullmatch(t, head, i + 1):
+        return False  # the mark of a heading or item
+    key = (token, a, after, t[n + 1 : n + 2], loud, address)
+    known = model.known.get(key)
+    return model.remember(key, _gap_stop(token, a, after, t[n + 1 : n + 2], model, loud, address)) if known is None else known
+
+
 def cut_block(t: str, model: Model, loud: bool) -> list[int]:
     """The ends (exclusive) of the sentences of one block of running text."""
     spans, addresses = _protected(t), _addresses(t)
@@ -357,9 +423,15 @@ def cut_block(t: str, model: Model, loud: bool) -> list[int]:
     for m in re.finditer(r"(?<=[\u0e00-\u0e7f])\s+(?=[¿¡«\"]|[A-Za-zÀ-ÿ][a-zà-ÿ]+ )", t):
         marks.append((m.start(), m.start(), " "))
     marks.sort()
+    easy = not spans and not addresses
     for i, j, run in marks:
-        if run == "." and j < len(t) and (t[j].islower() or t[j].isdigit()):
-            continue  # inside a figure, an address or an abbreviation
+        if run == "." and j < len(t):
+            if t[j].islower() or t[j].isdigit():
+                continue  # inside a figure, an address or an abbreviation
+            if easy and t[j].isspace():
+                if j < last and _full_stop(t, i, j, model, False, loud, head, False):
+                    ends.append(j)
+                continue
         while s < len(spans) and spans[s][1] < i:
             s += 1
         inside = s < len(spans) and spans[s][0] < i < spans[s][1]
@@ -386,18 +458,17 @@ def cut_block(t: str, model: Model, loud: bool) -> list[int]:
             ends.append(i)
             continue
         if run == ".":
-            if _full_stop(t, i, k, n, model, quoted, loud, head, address):
+            if _full_stop(t, i, k, model, quoted, loud, head, address):
                 ends.append(k)
             continue
-        b, kind = next_of(t[n : n + 60].split(None, 1)[0])
+        b, kind = next_of(NEXT.match(t, n)[1])
         if any(x in CJK_STOPS for x in run):
             ok = not quoted and c not in "，、；：,;:"
         elif any(x in DANDAS for x in run):
             ok = not quoted
         elif any(x in "!?؟۔։‼⁇⁈⁉" for x in run):
             if n == k:
-                ok = (kind == "cap" or c in "¿¡«" or kind == "oth" and c.isalpha()) and not re.search(r"(?:www\.|://)\S*$", t[max(0, i - 200) : i], re.I)
-                ok = ok and not (address and addresses[w][2] <= i)
+                ok = (kind == "cap" or c in "¿¡«" or kind == "oth" and c.isalpha()) and not (address and addresses[w][2] <= i)
             else:
                 ok = not (quoted and kind == "low" and b not in model.small) and c not in ",;:)—–-"
                 ok = ok and not (quoted and kind == "oth" and c.isalpha())

@@ -111,7 +111,7 @@ def test_sentences(model, parts):
 
 
 @pytest.mark.parametrize("head", ["https://celmi.invalid/", "www.celmi.invalid/", "HTTPS://celmi.invalid/"])
-@pytest.mark.parametrize("size", [10, 90, 250])
+@pytest.mark.parametrize("size", [10, 90, 3500])
 @pytest.mark.parametrize("tail", ["anexo.Pdf", "busca?Proceso=3", "uno!Dos"])
 def test_long_addresses_are_not_cut(model, head, size, tail):
     parts = [f"Consulte {head}{'ab/' * size}{tail} antes del cierre.", "El comité respondió."]
@@ -119,6 +119,30 @@ def test_long_addresses_are_not_cut(model, head, size, tail):
     assert [text[a:b] for a, b in sentences.sentences(text, model)] == parts
 
 
+@pytest.mark.parametrize("size", [10, 39, 41, 90, 10_000])
+def test_cuts_do_not_depend_on_the_length_of_words(model, size):
+    parts = ["La clave es " + "x" * size + ".", "Consta en el acta " + "Y" + "y" * size + ".", "W" + "w" * size + " fue la firma.", "Fin"]
+    text = " ".join(parts)
+    assert [text[a:b] for a, b in sentences.sentences(text, model)] == parts
+    tight = ["Se entregó " + "x" * size + ".", "Otra" + "o" * size + " frase sigue."]
+    assert [x for a, b in sentences.sentences("".join(tight), model) for x in ["".join(tight)[a:b]]] == tight
+    items = f"Los requisitos son:\n1. uno{'o' * size}. Va;\n{'2' * min(size, 60)}. dos."
+    assert len(sentences.sentences(items, model)) == 3
+
+
+def test_the_model_is_bounded(spark):
+    """Rare types of a large corpus are not learned: a class has at most 1 / RARE entries."""
+    rows = [(i, "El Sr. Pérez y la Dra. Gómez firmaron. " * 5 + f"Un raro{chr(97 + i % 26)} va.", "es") for i in range(200)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    many = sentences.learn(d).count()
+    before, sentences.RARE = sentences.RARE, 0.01
+    try:
+        few = sentences.learn(d)
+        assert few.groupBy("clase").count().agg(F.max("count")).first()[0] <= 100 and few.count() < many
+    finally:
+        sentences.RARE = before
+
+
 def test_an_address_does_not_bind_text_without_blanks(model):
     parts = ["第843包因无有效报价而废标。" * 1, "请联系" + "评审委员会" * 40 + "。", "邮箱a@celmi.invalid"]
     text = "".join(parts)
