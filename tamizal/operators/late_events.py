@@ -16,7 +16,9 @@ counts (ties: the greatest carried values); an empty log gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -25,6 +27,10 @@ def accepted(events: DataFrame, *, key: str, event: str, arrival: str, max_late:
     return events.where(F.col(key).isNotNull() & F.col(event).isNotNull() & F.col(arrival).isNotNull() & (F.col(arrival) - F.col(event) <= max_late))
 
 
+def _state(event: str, arrival: str, order: str, carry: list[str]) -> Column:
+    return F.struct(F.col(arrival).alias("llegada"), F.col(order).alias("orden"), F.col(event).alias("evento"), *[F.col(c) for c in carry])
+
+
 def checkpoints(events: DataFrame, *, key: str, event: str, arrival: str, order: str, carry: list[str], interval: int) -> DataFrame:
     """One row per key and segment of the log: the folded state and the snapshot that precedes it.
 
@@ -32,7 +38,7 @@ def checkpoints(events: DataFrame, *, key: str, event: str, arrival: str, order:
     state over all earlier segments, null before the first), tardio (the segment holds an event of
     another period than its delivery's).
     """
-    state = F.struct(F.col(arrival).alias("llegada"), F.col(order).alias("orden"), F.col(event).alias("evento"), *[F.col(c) for c in carry])
+    state = _state(event, arrival, order, carry)
     folded = events.groupBy(F.col(key), F.floor(F.col(arrival) / interval).cast("int").alias("tramo")).agg(
         F.max(state).alias("estado"), F.max(F.col(event) != F.col(arrival)).alias("tardio")
     )
@@ -82,3 +88,52 @@ def restate(
     new = state.select(F.col("estado.evento").alias("evento"), F.col(f"estado.{group}").alias(group), F.lit(1).cast("long").alias("r"), F.lit(0).cast("long").alias("p"))
     old = published.select(F.col(event).alias("evento"), F.col(group), F.lit(0).cast("long").alias("r"), F.coalesce(F.col(count).cast("long"), F.lit(0)).alias("p"))
     return new.unionByName(old).groupBy("evento", group).agg(F.sum("r").alias("restado"), F.sum("p").alias("publicado"))
+
+
+class CheckpointStore:
+    """The snapshots of all keys in a folder that outlives a run, so that a run reads its new delivery
+    and, of what is stored, only the keys the delivery touches.
+
+    Rows of the folder: key, tramo (segment of the log), estado (the segment folded), hasta (the
+    snapshot: the state after the segment), version (the run that wrote them).  A delivery restores
+    each touched key's last snapshot before its earliest segment in the delivery, replays the sorted
+    suffix (stored segments from there on and the new ones), and writes the suffix again under its own
+    version; of several versions of a segment the newest counts.  What was written stays as it is until
+    the next version is complete, so a run that fails can be started again.
+    """
+
+    def __init__(self, path: str, *, key: str, event: str, arrival: str, order: str, carry: list[str], max_late: int, interval: int = 3):
+        self.path, self.key, self.event, self.arrival, self.order, self.carry, self.max_late, self.interval = path, key, event, arrival, order, carry, max_late, interval
+
+    def stored(self, spark, versions: int) -> DataFrame | None:
+        """The newest rows of every key and segment after so many deliveries."""
+        if not versions:
+            return None
+        each = [spark.read.parquet(f"{self.path}/version={v}").withColumn("version", F.lit(v)) for v in range(versions)]
+        row = F.max(F.struct("version", "estado", "hasta")).alias("x")
+        return reduce(DataFrame.unionByName, each).groupBy(self.key, "tramo").agg(row).select(self.key, "tramo", "x.estado", "x.hasta")
+
+    def deliver(self, events: DataFrame, version: int) -> DataFrame:
+        """Takes in delivery number `version` (0, 1, ...); gives (key, antes, despues): the keys whose
+        output changes, with the state to take back (null if there was none) and the one to put."""
+        spark, key = events.sparkSession, self.key
+        kept = accepted(events, key=key, event=self.event, arrival=self.arrival, max_late=self.max_late)
+        new = kept.groupBy(key, F.floor(F.col(self.arrival) / self.interval).cast("int").alias("tramo")).agg(F.max(_state(self.event, self.arrival, self.order, self.carry)).alias("estado"))
+        touched = new.groupBy(key).agg(F.min("tramo").alias("desde"))
+        old = self.stored(spark, version)
+        segments = new
+        if old is not None:
+            mine = old.join(touched, key)
+            restored = mine.where("tramo < desde").groupBy(key).agg(F.max_by("hasta", "tramo").alias("punto"))
+            suffix = new.unionByName(mine.where("tramo >= desde").select(new.columns))
+            segments = suffix.groupBy(key, "tramo").agg(F.max("estado").alias("estado")).join(restored, key, "left")
+        else:
+            segments = segments.withColumn("punto", F.lit(None).cast(new.schema["estado"].dataType))
+        run = Window.partitionBy(key).orderBy("tramo").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        segments = segments.withColumn("hasta", F.greatest(F.max("estado").over(run), F.col("punto")))
+        segments.select(key, "tramo", "estado", "hasta").write.mode("overwrite").parquet(f"{self.path}/version={version}")
+        after = spark.read.parquet(f"{self.path}/version={version}").groupBy(key).agg(F.max_by("hasta", "tramo").alias("despues"))
+        if old is None:
+            return after.select(key, F.lit(None).cast(after.schema["despues"].dataType).alias("antes"), "despues")
+        before = old.join(touched.select(key), key, "left_semi").groupBy(key).agg(F.max_by("hasta", "tramo").alias("antes"))
+        return after.join(before, key, "left").select(key, "antes", "despues").where(~F.col("antes").eqNullSafe(F.col("despues")))

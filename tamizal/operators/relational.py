@@ -158,8 +158,17 @@ def never_met(pairs: DataFrame, offers: DataFrame, *, left: str, right: str, thr
     """
     ensure_checkpoint_dir(pairs.sparkSession)
     who = offers.select(right, through).where(F.col(right).isNotNull() & F.col(through).isNotNull())
-    # numbers by partition are nearly dense, and the checkpoint keeps them when a task runs again
-    numbers = who.select(right).distinct().withColumn("__id", F.monotonically_increasing_id()).checkpoint()
+    # numbers by partition, kept by the checkpoint when a task runs again; then made dense, so that the
+    # bitmaps are as few and as full as the rights allow
+    loose = who.select(right).distinct().withColumn("__id", F.monotonically_increasing_id()).checkpoint()
+    place, inside = F.shiftrightunsigned("__id", 33), F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = loose.groupBy(place.alias("__p")).agg(F.count(F.lit(1)).alias("__k")).orderBy("__p").collect()  # a row per partition
+    base, starts = 0, []
+    for r in sizes:
+        starts.append((r["__p"], base))
+        base += r["__k"]
+    offsets = F.broadcast(pairs.sparkSession.createDataFrame(starts, "__p bigint, __base bigint"))
+    numbers = loose.withColumn("__p", place).join(offsets, "__p").select(right, (F.col("__base") + inside).alias("__id"))
     marks = who.distinct().join(numbers, right).groupBy(through, F.bitmap_bucket_number("__id").alias("__b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("__id")).alias("__m"))
     own = pairs.select(left, through).where(F.col(left).isNotNull() & F.col(through).isNotNull()).distinct()
     reach = own.join(marks, through).groupBy(left, "__b").agg(F.bitmap_count(F.bitmap_or_agg("__m")).alias("c")).groupBy(left).agg(F.sum("c").alias("__reach"))
