@@ -6,6 +6,7 @@ so results do not depend on partitioning.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -149,12 +150,45 @@ def fill_from(df: DataFrame, source: DataFrame, keys: list[str], columns: list[s
     return j.withColumns(new).select(*df.columns)
 
 
+#: Bitmaps a task holds at a time while it unites lists of bits (32 KB each).
+HELD = 2_000
+
+
+def _unite(batches: Iterator) -> Iterator:
+    """A task's lists of bits per left and bucket, united into bitmaps; what is held is bounded, and
+    bitmaps given out early are united with the others later."""
+    import numpy as np
+    import pyarrow as pa
+
+    held: dict[tuple, np.ndarray] = {}
+    kind = None
+
+    def out():
+        keys = list(held)
+        maps = [np.packbits(held[k], bitorder="little").tobytes() for k in keys]
+        held.clear()
+        return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], kind), pa.array([k[1] for k in keys], pa.int64()), pa.array(maps, pa.binary())], names=["__l", "__b", "__m"])
+
+    for batch in batches:
+        kind = batch.column(0).type
+        lists = batch.column(2)
+        bits, off = lists.values.to_numpy(), lists.offsets.to_numpy()
+        for i, key in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+            if key not in held:
+                if len(held) >= HELD:
+                    yield out()
+                held[key] = np.zeros(1 << 15, dtype=bool)
+            held[key][bits[off[i] : off[i + 1]]] = True
+    if held:
+        yield out()
+
+
 def never_met(pairs: DataFrame, offers: DataFrame, *, left: str, right: str, through: str) -> DataFrame:
     """Per left, how many rights share a `through` value with it and never met it.
 
     pairs: (left, right, through) that met, all of them also in offers; offers: (right, through).
-    The rights of a `through` value are a bitmap, and those of a left the union of its bitmaps, so
-    no pair of a left and a right is ever written out.  Lefts without such rights have no row.
+    The rights of a `through` value are lists of bits, and those of a left the bitmap that unites them,
+    so no pair of a left and a right is ever written out.  Lefts without such rights have no row.
     """
     ensure_checkpoint_dir(pairs.sparkSession)
     who = offers.select(right, through).where(F.col(right).isNotNull() & F.col(through).isNotNull())
@@ -169,9 +203,15 @@ def never_met(pairs: DataFrame, offers: DataFrame, *, left: str, right: str, thr
         base += r["__k"]
     offsets = F.broadcast(pairs.sparkSession.createDataFrame(starts, "__p bigint, __base bigint"))
     numbers = loose.withColumn("__p", place).join(offsets, "__p").select(right, (F.col("__base") + inside).alias("__id"))
-    marks = who.distinct().join(numbers, right).groupBy(through, F.bitmap_bucket_number("__id").alias("__b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("__id")).alias("__m"))
+    # the rights of a `through` value as short lists of bits, at most one bitmap's worth each
+    marks = who.join(numbers, right).groupBy(through, F.bitmap_bucket_number("__id").alias("__b")).agg(F.collect_set(F.bitmap_bit_position("__id").cast("int")).alias("__m"))
     own = pairs.select(left, through).where(F.col(left).isNotNull() & F.col(through).isNotNull()).distinct()
-    reach = own.join(marks, through).groupBy(left, "__b").agg(F.bitmap_count(F.bitmap_or_agg("__m")).alias("c")).groupBy(left).agg(F.sum("c").alias("__reach"))
+    kind = pairs.schema[left].dataType.simpleString()
+    # the join gives many times what it reads, so its tasks are not merged by the size of their input
+    spark = pairs.sparkSession
+    own = own.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), through)
+    united = own.join(marks, through).select(F.col(left).alias("__l"), "__b", "__m").mapInArrow(_unite, f"__l {kind}, __b bigint, __m binary")
+    reach = united.groupBy(F.col("__l").alias(left), "__b").agg(F.bitmap_count(F.bitmap_or_agg("__m")).alias("c")).groupBy(left).agg(F.sum("c").alias("__reach"))
     met = pairs.select(left, right).where(F.col(left).isNotNull() & F.col(right).isNotNull() & F.col(through).isNotNull()).distinct().groupBy(left).agg(F.count(F.lit(1)).alias("__met"))
     return reach.join(met, left, "left").select(left, (F.col("__reach") - F.coalesce("__met", F.lit(0))).alias("n")).where("n > 0")
 

@@ -282,11 +282,13 @@ def g13_node_year(spark, sf):
     """Amounts, buyers and winners of every node and year, from the chosen lines of each process; a
     process counts under the node of its dominant code, or as unclassified (G13)."""
     i = table(spark, sf, "proceso_item").select("ocid", "anio", "origen", "cpc", "monto_linea").where("ocid is not null and anio is not null")
-    s = single_origin(i, annual=True).where("monto_linea is not null")
-    # one pass per process: its amount, and its largest code among the sums per code
-    per = s.groupBy("ocid", "anio", filled("cpc").alias("cpc")).agg(F.sum(dec("monto_linea")).alias("m"))
-    best = F.min(F.when(F.col("cpc").isNotNull(), F.struct((-F.col("m")).alias("m"), "cpc")))["cpc"]
-    p = per.groupBy("ocid", "anio").agg(F.sum("m").alias("m"), best.alias("cpc")).where("m > 0")
+    # both origins are added up side by side, so the choice of P10 needs no join
+    line = dec("monto_linea")
+    award, tender = F.when((F.col("origen") == "award") & (F.col("monto_linea") > 0), line), F.when(F.col("origen") == "tender", line)
+    per = i.groupBy("ocid", "anio", filled("cpc").alias("cpc")).agg(F.sum(award).alias("a"), F.sum(tender).alias("t"))
+    best = lambda c: F.min(F.when(F.col("cpc").isNotNull() & F.col(c).isNotNull(), F.struct((-F.col(c)).alias("m"), "cpc")))["cpc"]
+    p = per.groupBy("ocid", "anio").agg(F.sum("a").alias("a"), F.sum("t").alias("t"), best("a").alias("ca"), best("t").alias("ct"))
+    p = p.select("ocid", "anio", F.coalesce("a", "t").alias("m"), F.when(F.col("a").isNotNull(), F.col("ca")).otherwise(F.col("ct")).alias("cpc")).where("m > 0")
     p = rel.in_tree(p, table(spark, sf, "cpc_nivel"), "cpc", "n5")
     r = table(spark, sf, "proceso_resumen").select("ocid", "anio", "mes", "fila_id", "comprador_ruc", "proveedor_ruc").where("ocid is not null")
     who = r.groupBy("ocid", "anio").agg(F.max(F.struct("mes", "fila_id", F.nullif("comprador_ruc", F.lit("")).alias("c")))["c"].alias("comprador"), F.collect_set(F.nullif("proveedor_ruc", F.lit(""))).alias("ganadores"))  # rows of one process and year

@@ -60,9 +60,12 @@ def test_tree_is_additive(spark):
     assert got == {"1": 7, "12": 3, "123": 3, "1234": 1, "12345": 1, "1239": 2, "12399": 2, None: 24}
 
 
-def test_never_met_equals_pairs(spark):
+@pytest.mark.parametrize("held", [2_000, 2])
+def test_never_met_equals_pairs(spark, monkeypatch, held):
     import random
 
+    monkeypatch.setattr(rel, "HELD", held)
+
     rnd = random.Random(2)
     rows = [(rnd.randint(0, 9), rnd.choice([None, *range(40)]), rnd.choice([None, *range(12)])) for _ in range(300)]
     d = spark.createDataFrame(rows, "l int, r int, t int")
