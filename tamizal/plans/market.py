@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars, text
 from ..operators import relational as rel
-from ..session import table
+from ..session import ensure_checkpoint_dir, table
 from .registry import QUERIES, SQL, dec, filled, money, query
 
 __all__ = ["QUERIES", "SQL"]
@@ -292,7 +292,8 @@ def g13_node_year(spark, sf):
     p = rel.in_tree(p, table(spark, sf, "cpc_nivel"), "cpc", "n5")
     r = table(spark, sf, "proceso_resumen").select("ocid", "anio", "mes", "fila_id", "comprador_ruc", "proveedor_ruc").where("ocid is not null")
     who = r.groupBy("ocid", "anio").agg(F.max(F.struct("mes", "fila_id", F.nullif("comprador_ruc", F.lit("")).alias("c")))["c"].alias("comprador"), F.collect_set(F.nullif("proveedor_ruc", F.lit(""))).alias("ganadores"))  # rows of one process and year
-    p = p.join(who, ["ocid", "anio"], "left")
+    ensure_checkpoint_dir(spark)
+    p = p.join(who, ["ocid", "anio"], "left").select("n5", "anio", "m", "comprador", "ganadores").checkpoint()  # a row per process, read three times below
     keys = ["codigo", "anio"]
     full = lambda d: rel.prefix_levels(d, "n5", 5).withColumn("codigo", F.coalesce("nodo", F.lit(UNCLASSIFIED))).drop("nivel", "nodo")
     a = full(p.groupBy("n5", "anio").agg(F.count(F.lit(1)).alias("n"), F.sum("m").alias("m"))).groupBy(*keys).agg(F.sum("n").alias("n"), F.round(F.sum("m"), 2).cast("double").alias("monto"))
