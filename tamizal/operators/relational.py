@@ -150,70 +150,189 @@ def fill_from(df: DataFrame, source: DataFrame, keys: list[str], columns: list[s
     return j.withColumns(new).select(*df.columns)
 
 
-#: Bitmaps a task holds at a time while it unites lists of bits (32 KB each).
-HELD = 2_000
+#: Pairs of one kind that a task should hold at a time (8 bytes each, twice that while they are read).
+HELD = 12_000_000
+#: Rows whose pairs are packed together.
+PACKED = 1 << 20
+#: Kinds of packed pairs: (through, left), (through, right) and (left, right).
+OWN, MARK, MET = 0, 1, 2
 
 
-def _unite(batches: Iterator) -> Iterator:
-    """A task's lists of bits per left and bucket, united into bitmaps; what is held is bounded, and
-    bitmaps given out early are united with the others later."""
+def _packer(parts: int, kinds: tuple[int, ...]):
+    """Rows (l, r, t, i, j: the parts of l and r) into packed pairs (kind, part, n, data): the distinct
+    pairs of up to PACKED rows and one part, as compressed Arrow."""
     import numpy as np
     import pyarrow as pa
+    import pyarrow.compute as pc
+
+    columns = {OWN: ("t", "l", "i"), MARK: ("t", "r", "j"), MET: ("l", "r", "i")}
+
+    def coded(column):
+        """Codes in the order of the values, and the values."""
+        enc = column.dictionary_encode()
+        order = pc.sort_indices(enc.dictionary).to_numpy()
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.arange(len(order))
+        return rank[enc.indices.to_numpy()], enc.dictionary.take(pa.array(order))
+
+    def data_of(codes_a, codes_b, va, vb) -> bytes:
+        """Sorted distinct pairs as three batches: the values of each side, and the steps from pair to pair
+        where a pair is the number a * len(values of b) + b of its places among these values."""
+        ua, a = np.unique(codes_a, return_inverse=True)
+        ub, b = np.unique(codes_b, return_inverse=True)
+        steps = np.diff(a * len(ub) + b, prepend=0)
+        narrow = next(t for t in (np.uint16, np.uint32, np.int64) if steps.max() <= np.iinfo(t).max)
+        sink = pa.BufferOutputStream()
+        for x in (va.take(pa.array(ua)), vb.take(pa.array(ub)), pa.array(steps.astype(narrow))):
+            batch = pa.RecordBatch.from_arrays([x], names=["x"])
+            with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+                w.write_batch(batch)
+        return sink.getvalue().to_pybytes()
+
+    def packed(rows: pa.Table) -> pa.RecordBatch:
+        out = []
+        for kind in kinds:
+            some = rows.select(columns[kind]).drop_null().combine_chunks()
+            if not some.num_rows:
+                continue
+            (a, va), (b, vb) = (coded(some.column(k).chunk(0)) for k in (0, 1))
+            key = np.unique((some.column(2).to_numpy().astype(np.int64) * len(va) + a) * len(vb) + b)
+            a, b = np.divmod(key, len(vb))
+            p, a = np.divmod(a, len(va))
+            cuts = np.searchsorted(p, np.arange(parts + 1))
+            for q in np.flatnonzero(np.diff(cuts)).tolist():
+                at = slice(cuts[q], cuts[q + 1])
+                out.append((kind, q, cuts[q + 1] - cuts[q], data_of(a[at], b[at], va, vb)))
+        kind, part, n, data = zip(*out) if out else ((), (), (), ())
+        return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(part, pa.int32()), pa.array(n, pa.int64()), pa.array(data, pa.binary())], names=["__kind", "__part", "__n", "__data"])
+
+    def pack(batches: Iterator) -> Iterator:
+        held, rows = [], 0
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= PACKED:
+                yield packed(pa.Table.from_batches(held))
+                held, rows = [], 0
+        if held:
+            yield packed(pa.Table.from_batches(held))
+
+    return pack
+
+
+def _count_cell(batches: Iterator) -> Iterator:
+    """The packed pairs of one cell into (left, c): for each left, how many rights of the cell it reaches,
+    or less how many it met."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
 
-    held: dict[tuple, np.ndarray] = {}
-    kind = None
-
-    def out():
-        keys = list(held)
-        maps = [np.packbits(held[k], bitorder="little").tobytes() for k in keys]
-        held.clear()
-        return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], kind), pa.array([k[1] for k in keys], pa.int64()), pa.array(maps, pa.binary())], names=["__l", "__b", "__m"])
-
+    data: dict[int, list] = {OWN: [], MARK: [], MET: []}
     for batch in batches:
-        kind = batch.column(0).type
-        lists = batch.column(2)
-        bits, off = lists.values.to_numpy(), lists.offsets.to_numpy()
-        for i, key in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
-            if key not in held:
-                if len(held) >= HELD:
-                    yield out()
-                held[key] = np.zeros(1 << 15, dtype=bool)
-            held[key][bits[off[i] : off[i + 1]]] = True
-    if held:
-        yield out()
+        for kind, d in zip(batch.column(0).to_pylist(), batch.column(1)):
+            data[kind].append(d.as_buffer())
+
+    def coded(kind: int):
+        """Codes of both sides of all pairs of a kind, and the values of each side."""
+        values, steps = ([], []), []
+        for d in data.pop(kind):
+            source = pa.BufferReader(d)
+            for to in (*values, steps):
+                to.append(pa.ipc.open_stream(source).read_all().column(0).chunk(0))
+        codes = [np.empty(sum(map(len, steps)), dtype=np.int32) for _ in values]
+        encoded = [pa.chunked_array(v).combine_chunks().dictionary_encode() for v in values]
+        maps = [e.indices.to_numpy() for e in encoded]
+        at, done = [0, 0], 0
+        for va, vb, s in zip(*values, steps):
+            places = np.divmod(np.cumsum(s.to_numpy(), dtype=np.int64), len(vb))
+            for k, v in enumerate((va, vb)):
+                codes[k][done : done + len(s)] = maps[k][at[k] : at[k] + len(v)][places[k]]
+                at[k] += len(v)
+            done += len(s)
+        return *codes, *(e.dictionary for e in encoded)
+
+    def distinct(high, low):
+        """Pairs of codes as sorted distinct numbers."""
+        key = high.astype(np.int64)
+        key <<= 32
+        key |= low
+        key.sort()
+        return key[np.append(True, key[1:] != key[:-1])] if len(key) else key
+
+    def out(lefts, n):
+        some = np.flatnonzero(n)
+        return pa.RecordBatch.from_arrays([lefts.take(pa.array(some)), pa.array(n[some].astype(np.int64))], names=["__l", "__c"])
+
+    if data[MET]:
+        left, right, lefts, _ = coded(MET)
+        key = distinct(left, right)
+        yield out(lefts, -np.bincount(key >> 32, minlength=len(lefts)))
+    if not data[OWN] or not data[MARK]:
+        return
+    through, right, known, rights = coded(MARK)
+    sets = distinct(through, right)
+    del through, right
+    ends = np.searchsorted(sets, np.arange(1, len(known) + 1) << 32)
+    starts = np.append(0, ends[:-1])
+    sets &= 0xFFFFFFFF  # the rights of each `through` value, one after the other
+    through, left, values, lefts = coded(OWN)
+    place = pc.index_in(values, value_set=known).fill_null(-1).to_numpy()[through]
+    own = distinct(left[place >= 0], place[place >= 0])
+    del through, left, place
+    cuts = np.searchsorted(own, np.arange(len(lefts) + 1) << 32)
+    own &= 0xFFFFFFFF
+    n, reached = np.zeros(len(lefts), dtype=np.int64), np.zeros(len(rights), dtype=bool)
+    for k in range(len(lefts)):
+        of = own[cuts[k] : cuts[k + 1]]
+        a, b = starts[of], ends[of]
+        spans = [sets[x:y] for x, y in zip(a.tolist(), b.tolist())]
+        if len(spans) < 2:
+            n[k] = sum(map(len, spans))
+        elif (b - a).sum() * 16 < len(rights):  # few: not worth clearing and counting the whole mask
+            n[k] = len(np.unique(np.concatenate(spans)))
+        else:
+            reached[:] = False
+            for s in spans:
+                reached[s] = True
+            n[k] = np.count_nonzero(reached)
+    yield out(lefts, n)
 
 
 def never_met(pairs: DataFrame, offers: DataFrame, *, left: str, right: str, through: str) -> DataFrame:
     """Per left, how many rights share a `through` value with it and never met it.
 
     pairs: (left, right, through) that met, all of them also in offers; offers: (right, through).
-    The rights of a `through` value are lists of bits, and those of a left the bitmap that unites them,
-    so no pair of a left and a right is ever written out.  Lefts without such rights have no row.
+    Each input is read once and its distinct pairs are kept packed.  Groups of lefts times groups of
+    rights make a grid; a cell holds the `through` values of its lefts and the rights of all `through`
+    values, and counts what each left reaches, so no pair of a left and a right that never met is
+    written out.  Lefts without such rights have no row.
     """
-    ensure_checkpoint_dir(pairs.sparkSession)
-    who = offers.select(right, through).where(F.col(right).isNotNull() & F.col(through).isNotNull())
-    # numbers by partition, kept by the checkpoint when a task runs again; then made dense, so that the
-    # bitmaps are as few and as full as the rights allow
-    loose = who.select(right).distinct().withColumn("__id", F.monotonically_increasing_id()).checkpoint()
-    place, inside = F.shiftrightunsigned("__id", 33), F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
-    sizes = loose.groupBy(place.alias("__p")).agg(F.count(F.lit(1)).alias("__k")).orderBy("__p").collect()  # a row per partition
-    base, starts = 0, []
-    for r in sizes:
-        starts.append((r["__p"], base))
-        base += r["__k"]
-    offsets = F.broadcast(pairs.sparkSession.createDataFrame(starts, "__p bigint, __base bigint"))
-    numbers = loose.withColumn("__p", place).join(offsets, "__p").select(right, (F.col("__base") + inside).alias("__id"))
-    # the rights of a `through` value as short lists of bits, at most one bitmap's worth each
-    marks = who.join(numbers, right).groupBy(through, F.bitmap_bucket_number("__id").alias("__b")).agg(F.collect_set(F.bitmap_bit_position("__id").cast("int")).alias("__m"))
-    own = pairs.select(left, through).where(F.col(left).isNotNull() & F.col(through).isNotNull()).distinct()
-    kind = pairs.schema[left].dataType.simpleString()
-    # the join gives many times what it reads, so its tasks are not merged by the size of their input
     spark = pairs.sparkSession
-    own = own.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), through)
-    united = own.join(marks, through).select(F.col(left).alias("__l"), "__b", "__m").mapInArrow(_unite, f"__l {kind}, __b bigint, __m binary")
-    reach = united.groupBy(F.col("__l").alias(left), "__b").agg(F.bitmap_count(F.bitmap_or_agg("__m")).alias("c")).groupBy(left).agg(F.sum("c").alias("__reach"))
-    met = pairs.select(left, right).where(F.col(left).isNotNull() & F.col(right).isNotNull() & F.col(through).isNotNull()).distinct().groupBy(left).agg(F.count(F.lit(1)).alias("__met"))
-    return reach.join(met, left, "left").select(left, (F.col("__reach") - F.coalesce("__met", F.lit(0))).alias("n")).where("n > 0")
+    ensure_checkpoint_dir(spark)
+    parts = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")) // 6)  # larger parts pack better
+    part = lambda c: F.pmod(F.hash(c), F.lit(parts))
+    packed_as = "__kind int, __part int, __n bigint, __data binary"
+    rows = pairs.where(F.col(through).isNotNull()).select(F.col(left).alias("l"), F.col(right).alias("r"), F.col(through).alias("t"), part(left).alias("i"), part(right).alias("j"))
+    packed = rows.mapInArrow(_packer(parts, (OWN, MARK, MET) if offers is pairs else (OWN, MET)), packed_as)
+    if offers is not pairs:
+        marks = offers.where(F.col(through).isNotNull()).select(F.col(right).alias("r"), F.col(through).alias("t"), part(right).alias("j"))
+        packed = packed.union(marks.mapInArrow(_packer(parts, (MARK,)), packed_as))
+    packed = packed.checkpoint()
+    size = dict.fromkeys((OWN, MARK, MET), 0) | {r["__kind"]: r["n"] for r in packed.groupBy("__kind").agg(F.sum("__n").alias("n")).collect()}
+    # as few groups as their size allows, since each side is sent once per group of the other; then as many as keep all cores busy
+    i, j = (min(parts, max(1, -(-n // HELD))) for n in (max(size[OWN], size[MET]), size[MARK]))
+    while i * j < 2 * spark.sparkContext.defaultParallelism and min(i, j) < parts:
+        if j < parts and (size[MARK] * i >= size[OWN] * j or i == parts):
+            j += 1
+        else:
+            i += 1
+    # cell (x, y) is x * (j + 1) + y; those with y = j count what met
+    over = lambda n, cell: F.transform(F.sequence(F.lit(0), F.lit(n - 1)), cell)
+    row, column = F.col("__part") % i, F.col("__part") % j
+    cells = F.when(F.col("__kind") == OWN, over(j, lambda y: row * (j + 1) + y)).when(F.col("__kind") == MARK, over(i, lambda x: x * (j + 1) + column)).otherwise(F.array(row * (j + 1) + j))
+    sent = packed.select("__kind", "__data", F.explode(cells).alias("__cell")).repartitionById(i * (j + 1), "__cell").select("__kind", "__data")
+    counts = sent.mapInArrow(_count_cell, f"__l {pairs.schema[left].dataType.simpleString()}, __c bigint")
+    return counts.groupBy(F.col("__l").alias(left)).agg(F.sum("__c").alias("n")).where("n > 0")
 
 
 def top_k(df: DataFrame, order: list[Column], k: int, offset: int = 0) -> DataFrame:

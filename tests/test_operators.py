@@ -84,6 +84,41 @@ def test_never_met_equals_pairs(spark, monkeypatch, held):
     assert got == want
 
 
+def test_never_met_reads_its_rows_once(spark):
+    """Repeating what is below it four times made shuffles of several times the input."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    d = spark.range(1000).selectExpr("id % 7 l", "id % 50 r", "id % 11 t").mapInArrow(counted, "l bigint, r bigint, t bigint")
+    assert {r["l"]: r["n"] for r in rel.never_met(d, d, left="l", right="r", through="t").collect()} == {}
+    assert seen.value == 1000
+
+
+@pytest.mark.parametrize("held", [12_000_000, 500])
+def test_never_met_other_offers(spark, monkeypatch, held):
+    """Offers beyond the pairs, text keys, one value that all share, lefts of few and of many values."""
+    import random
+
+    monkeypatch.setattr(rel, "HELD", held)
+    rnd = random.Random(5)
+    pairs = [(f"l{rnd.randint(0, 30)}", f"r{rnd.randint(0, 400)}", f"t{rnd.randint(0, 90)}") for _ in range(400)] + [(f"l{k}", "r1", "all") for k in range(15)] + [("one", "r2", "t0"), ("alone", "r9", "only")]
+    offers = [p[1:] for p in pairs] + [(f"r{k}", "all") for k in range(300)] + [(f"r{rnd.randint(0, 900)}", f"t{rnd.randint(0, 120)}") for _ in range(900)] + [("r7", None), (None, "t1")]
+    got = rel.never_met(spark.createDataFrame(pairs, "l string, r string, t string"), spark.createDataFrame(offers, "r string, t string"), left="l", right="r", through="t")
+    who, reach, met = {}, {}, {}
+    for r, t in offers:
+        who.setdefault(t, set()).update({r} - {None})
+    for a, r, t in pairs:
+        reach.setdefault(a, set()).update(who[t])
+        met.setdefault(a, set()).add(r)
+    want = {a: len(reach[a] - met[a]) for a in reach if reach[a] - met[a]}
+    assert {r["l"]: r["n"] for r in got.collect()} == want
+    assert got.dtypes == [("l", "string"), ("n", "bigint")]
+
+
 def test_quantiles_equal_sorting(spark):
     """By position and interpolated, with ties, signs, infinities and null keys, on many slices."""
     import math
